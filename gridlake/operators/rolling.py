@@ -1,0 +1,70 @@
+"""Row-frame windows over long per-zone series without one task per zone.
+
+``Window.partitionBy(zone).orderBy(ts)`` sends a whole zone to one task, so a zone holding a
+third of the rows becomes a third of the job in a single task. Instead the series is cut
+into blocks of ``block_rows`` consecutive rows, and each block also receives the
+``halo`` rows that precede it, so every row frame (``rowsBetween(-halo, 0)``, ``lag``) is
+computed exactly inside its own block:
+
+1. global row numbers: rows are counted per (zone, time chunk) — a small aggregate — and a
+   running sum over the chunks gives each chunk's offset; ``row_number`` within the chunk
+   plus the offset is the row's position in the zone's series (window partitioned by zone
+   *and* chunk, so a hot zone is spread over its chunks);
+2. blocks: ``block = (row - 1) // block_rows``; the last ``halo`` rows of a block are also
+   emitted, flagged, into the next block (one ``explode``, no self-union);
+3. the caller's windows run over ``partitionBy(zone, block).orderBy(row)`` and drop the halo.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+ROW = "_row"
+BLOCK = "_block"
+HALO = "_halo"
+
+DEFAULT_CHUNK_DAYS = 7
+DEFAULT_BLOCK_ROWS = 1 << 20
+
+
+def _chunk(ts: Column, days: int) -> Column:
+    return F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / F.lit(days)).cast("long")
+
+
+def number_rows(df: DataFrame, key: str, order: str, chunk_days: int = DEFAULT_CHUNK_DAYS) -> DataFrame:
+    """Add ``_row``: 1-based position of each row in its ``key`` series ordered by ``order``.
+
+    ``order`` must be unique within ``key`` (true for silver: one row per zone and hour).
+    """
+    chunked = df.withColumn("_chunk", _chunk(F.col(order), chunk_days))
+    counts = chunked.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy(key, "_chunk").orderBy(order)
+    return (
+        chunked.join(offsets, [key, "_chunk"], "inner")
+        .withColumn(ROW, F.col("_offset") + F.row_number().over(within))
+        .drop("_chunk", "_offset")
+    )
+
+
+def with_halo(numbered: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Add ``_block`` and ``_halo``; halo copies of the last ``halo`` rows go to the next block."""
+    if block_rows <= halo:
+        raise ValueError("block_rows must exceed the frame length")
+    pos = F.col(ROW) - 1
+    in_halo = (pos % block_rows) >= (block_rows - halo)
+    shifts = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (
+        numbered.withColumn("_shift", F.explode(shifts))
+        .withColumn(BLOCK, F.floor(pos / block_rows).cast("long") + F.col("_shift"))
+        .withColumn(HALO, F.col("_shift") == 1)
+        .drop("_shift")
+    )
+
+
+def blocked(df: DataFrame, key: str, order: str, halo: int, chunk_days: int = DEFAULT_CHUNK_DAYS,
+            block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[DataFrame, Window]:
+    """Number, block and halo ``df``; returns it with the window spec for the block."""
+    prepared = with_halo(number_rows(df, key, order, chunk_days), halo, block_rows)
+    return prepared, Window.partitionBy(key, BLOCK).orderBy(ROW)
