@@ -31,11 +31,17 @@ def _chunk(ts: Column, days: int) -> Column:
     return F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / F.lit(days)).cast("long")
 
 
-def number_rows(df: DataFrame, key: str, order: str, chunk_days: int = DEFAULT_CHUNK_DAYS) -> DataFrame:
+def number_rows(df: DataFrame, key: str, order: str, chunk_days: int = DEFAULT_CHUNK_DAYS,
+                materialize: bool = True) -> DataFrame:
     """Add ``_row``: 1-based position of each row in its ``key`` series ordered by ``order``.
 
     ``order`` must be unique within ``key`` (true for silver: one row per zone and hour).
+    The input is read twice (chunk counts, then the rows), so by default it is checkpointed
+    to the cluster's shared checkpoint folder first: the upstream scan and shuffle run once,
+    and a lost executor does not send the job back to the raw data.
     """
+    if materialize:
+        df = checkpointed(df)
     chunked = df.withColumn("_chunk", _chunk(F.col(order), chunk_days))
     counts = chunked.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,6 +54,20 @@ def number_rows(df: DataFrame, key: str, order: str, chunk_days: int = DEFAULT_C
     )
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` once as a Parquet table under the cluster's shared
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+
+    One job (an RDD checkpoint of an unpersisted plan would compute it twice), and the
+    read-back prunes columns and splits files like any table. Never a local checkpoint.
+    """
+    from gridlake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def with_halo(numbered: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Add ``_block`` and ``_halo``; halo copies of the last ``halo`` rows go to the next block."""
     if block_rows <= halo:
@@ -64,7 +84,7 @@ def with_halo(numbered: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_RO
 
 
 def blocked(df: DataFrame, key: str, order: str, halo: int, chunk_days: int = DEFAULT_CHUNK_DAYS,
-            block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[DataFrame, Window]:
+            block_rows: int = DEFAULT_BLOCK_ROWS, materialize: bool = True) -> tuple[DataFrame, Window]:
     """Number, block and halo ``df``; returns it with the window spec for the block."""
-    prepared = with_halo(number_rows(df, key, order, chunk_days), halo, block_rows)
+    prepared = with_halo(number_rows(df, key, order, chunk_days, materialize), halo, block_rows)
     return prepared, Window.partitionBy(key, BLOCK).orderBy(ROW)

@@ -27,9 +27,9 @@ def metric_group(metric_name, metric_map: dict[str, str] | None = None):
 
 
 def pivot_metrics(bronze: DataFrame, metric_map: dict[str, str] | None = None) -> DataFrame:
-    """Long -> one row per (timestamp, country) with mean price, load, solar, wind.
+    """Long -> one row per (timestamp, country) with mean price, load, solar, wind.
 
-    The pivot values are listed, so no job runs to discover them and the schema is stable;
+    The pivot values are fixed, so no job runs to discover them and the schema is stable;
     the aggregate is partial on the map side, so a zone with many measurements per hour is
     combined before the shuffle. Missing generation is 0; price and load stay NULL.
     """
@@ -37,7 +37,11 @@ def pivot_metrics(bronze: DataFrame, metric_map: dict[str, str] | None = None) -
         bronze.select("timestamp", "country", metric_group("metric_name", metric_map).alias("metric_group"), "value")
         .where(F.col("metric_group") != "other")
     )
-    wide = grouped.groupBy("timestamp", "country").pivot("metric_group", PIVOT_VALUES).agg(F.avg("value"))
+    # One conditional mean per listed value: a single partial + final aggregation (Spark's
+    # ``pivot`` would plan a second aggregation and exchange for the same result).
+    wide = grouped.groupBy("timestamp", "country").agg(
+        *[F.avg(F.when(F.col("metric_group") == g, F.col("value"))).alias(g) for g in PIVOT_VALUES]
+    )
     return wide.na.fill(0.0, subset=["solar", "wind"])
 
 
@@ -49,7 +53,8 @@ def power_columns(wide: DataFrame) -> DataFrame:
 
 
 def features(wide: DataFrame, hours: int = 24, ramp: float = EXTREME_RAMP, share: float = DUNKELFLAUTE_SHARE,
-             chunk_days: int = rolling.DEFAULT_CHUNK_DAYS, block_rows: int = rolling.DEFAULT_BLOCK_ROWS) -> DataFrame:
+             chunk_days: int = rolling.DEFAULT_CHUNK_DAYS, block_rows: int = rolling.DEFAULT_BLOCK_ROWS,
+             materialize: bool = True) -> DataFrame:
     """Silver feature table (C13–C20, G1–G4): ramp rate, 24-row volatility, dunkelflaute.
 
     Row frames: the first ``hours - 1`` rows of a zone have NULL volatility and NULL
@@ -57,7 +62,7 @@ def features(wide: DataFrame, hours: int = 24, ramp: float = EXTREME_RAMP, share
     (zone, block) with a ``hours - 1`` row halo (see ``rolling``), so no zone is one task.
     """
     base = power_columns(wide).withColumn("renewable_share", safe_div("renewable_gen", "load"))
-    prepared, w = rolling.blocked(base, "country", "timestamp", hours - 1, chunk_days, block_rows)
+    prepared, w = rolling.blocked(base, "country", "timestamp", hours - 1, chunk_days, block_rows, materialize)
     frame = w.rowsBetween(-(hours - 1), 0)
     valid = F.col(rolling.ROW) >= hours
     windowed = prepared.select(

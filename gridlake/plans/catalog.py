@@ -241,3 +241,269 @@ def live_messages(f: Frames) -> DataFrame:
 def _live(f: Frames) -> DataFrame:
     good, _ = scoring.split_bad(scoring.decode(live_messages(f)))
     return scoring.score(good, f.fct_price_baselines)
+
+
+# ------------------------------------------------------------------- feed payloads
+PAYLOAD_COLS = ["event_id", "region", "start_timestamp", "end_timestamp", "marketprice", "unit", "event_time",
+                "price_eur_mwh", "hour", "month"]
+
+
+def _points(f: Frames) -> DataFrame:
+    from gridlake.sources import payload
+    return payload.price_points(payload.parse_payload(driver_tables.payload_documents(f.events)))
+
+
+@register("payload_explode", O.with_ctes("docs") + f"""
+SELECT event_id, region, start_timestamp, end_timestamp, {O.r('marketprice', 'marketprice')}, unit,
+       make_timestamp(start_timestamp * 1000) AS event_time, {O.r('marketprice', 'price_eur_mwh')},
+       CAST(hour(make_timestamp(start_timestamp * 1000)) AS INTEGER) AS hour,
+       CAST(month(make_timestamp(start_timestamp * 1000)) AS INTEGER) AS month
+FROM docs""")
+def _payload(f: Frames) -> DataFrame:
+    return _points(f)
+
+
+@register("publish_json", O.with_ctes("quotes") + f"""
+SELECT timestamp_ms, {O.r('price_eur_mwh', 'price_eur_mwh')}, unit, region, {O.r('ingested_at', 'ingested_at')}
+FROM quotes""")
+def _publish(f: Frames) -> DataFrame:
+    from gridlake import schemas
+    from gridlake.sinks import writers
+    q = driver_tables.price_quotes(f.events).select(
+        F.col("timestamp_ms").alias("start_timestamp"), F.col("price_eur_mwh").alias("marketprice"), "unit",
+        "region", "ingested_at")
+    msgs = writers.publish_messages(q, ingested_at=F.col("ingested_at"))
+    full = schemas.STREAM_MESSAGE.add("unit", "string")
+    return msgs.select(F.from_json("value", full).alias("m")).select(
+        "m.timestamp_ms", "m.price_eur_mwh", "m.unit", "m.region", "m.ingested_at")
+
+
+SNAPSHOT_TIME = "2024-02-01 00:00:00"
+
+
+@register("snapshot_rows", O.with_ctes("docs") + f"""
+SELECT start_timestamp, end_timestamp, {O.r('marketprice', 'marketprice')}, unit, region,
+       strftime(TIMESTAMP '{SNAPSHOT_TIME}', '%Y-%m-%dT%H:%M:%S.%f') AS ingestion_time,
+       strftime(TIMESTAMP '{SNAPSHOT_TIME}', '%Y%m%d') AS snapshot_date
+FROM docs""")
+def _snapshot(f: Frames) -> DataFrame:
+    from gridlake.sinks import writers
+    return writers.snapshot_rows(_points(f), ingestion_time=SNAPSHOT_TIME)
+
+
+# -------------------------------------------------------------------- data quality
+def _dq(check, table, column, severity, failing_sql):
+    col = "NULL" if column is None else f"'{column}'"
+    return (f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", CAST({col} AS VARCHAR) AS \"column\", "
+            f"'{severity}' AS severity, CAST(coalesce(({failing_sql}), 0) AS BIGINT) AS failing_rows, "
+            f"coalesce(({failing_sql}), 0) = 0 AS passed")
+
+
+def _uniq(t, c):
+    return f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+
+
+def _nn(t, c):
+    return f"SELECT count(*) FROM {t} WHERE {c} IS NULL"
+
+
+DQ_PARTS = [
+    _dq("unique", "dim_country", "country_code", "error", _uniq("dim_country", "country_code")),
+    _dq("unique", "dim_date", "time_key", "error", _uniq("dim_date", "time_key")),
+    _dq("unique", "dim_energy_metrics", "metric_code", "error", _uniq("dim_metrics", "metric_code")),
+    _dq("unique", "fct_energy_hourly", "energy_event_id", "error", _uniq("fct", "energy_event_id")),
+    _dq("unique", "stg_energy", "energy_event_id", "error", _uniq("stg_energy", "energy_event_id")),
+    _dq("not_null", "dim_country", "country_code", "error", _nn("dim_country", "country_code")),
+    _dq("not_null", "dim_date", "time_key", "error", _nn("dim_date", "time_key")),
+    _dq("not_null", "dim_energy_metrics", "metric_code", "error", _nn("dim_metrics", "metric_code")),
+    _dq("not_null", "fct_energy_hourly", "energy_event_id", "error", _nn("fct", "energy_event_id")),
+    _dq("not_null", "stg_energy", "energy_event_id", "error", _nn("stg_energy", "energy_event_id")),
+    _dq("not_null", "fct_price_baselines", "country_code", "error", _nn("baselines", "country_code")),
+    _dq("not_null", "fct_price_baselines", "avg_price_baseline", "error", _nn("baselines", "avg_price_baseline")),
+    _dq("not_null", "stg_price_stats", "country_code", "error", _nn("stg_price_stats", "country_code")),
+    _dq("not_null", "mrt_price_anomaly_detection", "price_z_score", "warn", _nn("anomaly", "price_z_score")),
+    _dq("not_null", "stg_energy", "price_eur_mwh", "warn", _nn("stg_energy", "price_eur_mwh")),
+    _dq("relationships", "fct_energy_hourly", "country_code", "error",
+        "SELECT count(*) FROM fct f WHERE f.country_code IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM dim_country c WHERE c.country_code = f.country_code)"),
+    _dq("columns_present", "bronze", None, "error", "SELECT 0"),
+    _dq("min_rows", "bronze", None, "warn", "SELECT greatest(1000000 - count(*), 0) FROM bronze"),
+    _dq("zones_unexpected", "bronze", "country", "error",
+        "SELECT count(*) FROM (SELECT DISTINCT country AS zone FROM bronze WHERE country IS NOT NULL) a "
+        "WHERE NOT EXISTS (SELECT 1 FROM header_zones t WHERE t.zone = a.zone)"),
+    _dq("zones_missing", "bronze", "country", "warn",
+        "SELECT count(*) FROM header_zones t WHERE NOT EXISTS (SELECT 1 FROM bronze a WHERE a.country = t.zone)"),
+    _dq("metric_keywords", "bronze", "metric_name", "warn",
+        "SELECT (CASE WHEN coalesce(bool_or(contains(metric_name, 'price')), false) THEN 0 ELSE 1 END) + "
+        "(CASE WHEN coalesce(bool_or(contains(metric_name, 'load')), false) THEN 0 ELSE 1 END) + "
+        "(CASE WHEN coalesce(bool_or(contains(metric_name, 'generation')), false) THEN 0 ELSE 1 END) FROM bronze"),
+    _dq("not_null", "bronze", "country", "error", _nn("bronze", "country")),
+    _dq("not_null", "bronze", "timestamp", "error", _nn("bronze", '"timestamp"')),
+    _dq("not_null", "bronze", "value", "error", _nn("bronze", "value")),
+    _dq("subzones", "bronze", "country", "warn",
+        "SELECT (CASE WHEN count(*) FILTER (WHERE starts_with(country, 'SE_')) = 0 THEN 1 ELSE 0 END) + "
+        "(CASE WHEN count(*) FILTER (WHERE country = 'SE_1') = 0 THEN 1 ELSE 0 END) FROM bronze"),
+]
+DQ_SQL = O.with_ctes("dim_country", "dim_date", "dim_metrics", "fct", "stg_energy", "baselines", "stg_price_stats",
+                     "anomaly", "bronze", "header_zones") + "\nUNION ALL\n".join(DQ_PARTS)
+
+
+@register("dq_report", DQ_SQL)
+def _dq_report(f: Frames) -> DataFrame:
+    from gridlake.operators import gold as g
+    from gridlake.operators import quality as dq
+    from gridlake.sources import seeds
+    from gridlake.sources.wide_csv import discover_zones
+    spark = f.spark
+    metrics = g.dim_energy_metrics(spark)
+    anomaly = g.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines)
+    header_zones = spark.createDataFrame([(z,) for z in discover_zones(driver_tables.wide_columns())], "country string")
+    checks = [
+        dq.unique(f.dim_country, "dim_country", "country_code"),
+        dq.unique(f.dim_date, "dim_date", "time_key"),
+        dq.unique(metrics, "dim_energy_metrics", "metric_code"),
+        dq.unique(f.fct_energy_hourly, "fct_energy_hourly", "energy_event_id"),
+        dq.unique(f.stg_energy, "stg_energy", "energy_event_id"),
+        dq.not_null(f.dim_country, "dim_country", ["country_code"]),
+        dq.not_null(f.dim_date, "dim_date", ["time_key"]),
+        dq.not_null(metrics, "dim_energy_metrics", ["metric_code"]),
+        dq.not_null(f.fct_energy_hourly, "fct_energy_hourly", ["energy_event_id"]),
+        dq.not_null(f.stg_energy, "stg_energy", ["energy_event_id"]),
+        dq.not_null(f.fct_price_baselines, "fct_price_baselines", ["country_code", "avg_price_baseline"]),
+        dq.not_null(f.stg_price_stats, "stg_price_stats", ["country_code"]),
+        dq.not_null(anomaly, "mrt_price_anomaly_detection", ["price_z_score"], severity="warn"),
+        dq.not_null(f.stg_energy, "stg_energy", ["price_eur_mwh"], severity="warn"),
+        dq.relationship(f.fct_energy_hourly, "fct_energy_hourly", "country_code", f.dim_country, "country_code",
+                        parent_rows=seeds.COUNTRY_SEED_ROWS),
+        dq.columns_present(spark, f.bronze, "bronze"),
+        dq.min_rows(f.bronze, "bronze"),
+        dq.zone_match(f.bronze, header_zones, "bronze"),
+        dq.keywords(f.bronze, "bronze"),
+        dq.not_null(f.bronze, "bronze", dq.CRITICAL_COLUMNS),
+        dq.subzone_check(f.bronze, "bronze"),
+    ]
+    return dq.report(checks)
+
+
+@register("zone_set_diff", O.with_ctes("bronze", "dim_country") + """
+SELECT zone, 'unexpected' AS status FROM (SELECT DISTINCT country AS zone FROM bronze WHERE country IS NOT NULL) a
+WHERE NOT EXISTS (SELECT 1 FROM dim_country c WHERE c.country_code = a.zone)
+UNION ALL
+SELECT country_code AS zone, 'missing' AS status FROM dim_country c
+WHERE NOT EXISTS (SELECT 1 FROM bronze a WHERE a.country = c.country_code)""")
+def _zone_diff(f: Frames) -> DataFrame:
+    from gridlake.operators import quality as dq
+    return dq.zone_set_diff(f.bronze, f.dim_country.select(F.col("country_code").alias("country")))
+
+
+@register("null_profile", O.with_ctes("bronze") + """
+SELECT 'bronze' AS "table", count(*) AS rows,
+       count(*) FILTER (WHERE "timestamp" IS NULL) AS "timestamp", count(*) FILTER (WHERE country IS NULL) AS country,
+       count(*) FILTER (WHERE metric_name IS NULL) AS metric_name, count(*) FILTER (WHERE value IS NULL) AS value,
+       count(*) FILTER (WHERE year IS NULL) AS year, count(*) FILTER (WHERE month IS NULL) AS month
+FROM bronze""")
+def _null_profile(f: Frames) -> DataFrame:
+    from gridlake.operators import quality as dq
+    return dq.null_profile(f.bronze, "bronze")
+
+
+# ------------------------------------------------------------------------- serving
+@register("green_summary", _sel("green", GREEN_COLS, {"avg_price_volatility", "avg_residual_load", "avg_price"})
+          + " WHERE avg_price_volatility IS NOT NULL AND avg_residual_load IS NOT NULL")
+def _green_summary(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.green_summary(gold.green_performance(f.fct_energy_hourly))
+
+
+@register("selector_values", O.with_ctes("green", "bronze") + """
+SELECT selector, value, row_number() OVER (PARTITION BY selector
+         ORDER BY CASE WHEN selector = 'year' THEN value END DESC NULLS LAST, value ASC) AS position
+FROM (SELECT DISTINCT 'zone' AS selector, CAST(country_name AS VARCHAR) AS value FROM green
+      UNION SELECT DISTINCT 'year', CAST(year AS VARCHAR) FROM green
+      UNION SELECT DISTINCT 'metric', metric_name FROM bronze) s
+WHERE value IS NOT NULL""")
+def _selectors(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.selector_values(gold.green_performance(f.fct_energy_hourly), f.bronze)
+
+
+@register("risk_kpis", O.with_ctes("risk") + f"""
+SELECT {O.r('coalesce(sum(total_dunkelflaute_cost_eur), 0.0)', 'total_risk_eur')},
+       CAST(coalesce(sum(hours_in_dunkelflaute), 0) AS BIGINT) AS total_hours,
+       {O.r('CASE WHEN coalesce(sum(hours_in_dunkelflaute), 0) > 0 THEN coalesce(sum(total_dunkelflaute_cost_eur), 0.0) / NULLIF(sum(priced_load_mwh_at_risk), 0) END', 'avg_premium')}
+FROM risk""")
+def _risk_kpis(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.risk_kpis(gold.financial_risk(f.fct_energy_hourly))
+
+
+@register("risk_timeline", O.with_ctes("risk") + f"""
+SELECT {', '.join(O.r(c, c) if c in RISK_DOUBLES else c for c in RISK_COLS)},
+       concat_ws('-', CAST(year AS VARCHAR), lpad(CAST(month AS VARCHAR), 2, '0')) AS date_str
+FROM risk""")
+def _risk_timeline(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.risk_timeline(gold.financial_risk(f.fct_energy_hourly))
+
+
+@register("duck_curve_month", _sel("duck", DUCK_COLS, set(DUCK_COLS[4:])))
+def _duck_month(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.duck_curve_month(gold.duck_curve(f.fct_energy_hourly))
+
+
+@register("duck_shape", O.with_ctes("duck") + f"""
+SELECT country_name, year, month, {O.r('min(avg_net_load)', 'min_net_load')}, {O.r('max(rise)', 'max_ramp')}
+FROM (SELECT *, avg_net_load - lag(avg_net_load) OVER (PARTITION BY country_name, year, month
+                                                         ORDER BY hour_of_day) AS rise FROM duck) d
+GROUP BY country_name, year, month""")
+def _duck_shape(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.duck_shape(gold.duck_curve(f.fct_energy_hourly))
+
+
+def _live_points(f: Frames) -> DataFrame:
+    from gridlake.functions.semantics import region_to_zone
+    good, _ = scoring.split_bad(scoring.decode(live_messages(f)))
+    return good.select(F.timestamp_millis("timestamp_ms").alias("event_time"),
+                       region_to_zone("region").alias("country_code"))
+
+
+BAND_SQL = O.with_ctes("fct", "quotes") + f"""
+, base AS (
+  SELECT country_code, month(event_time) AS month, hour(event_time) AS hour,
+         avg(price_eur_mwh) * 3.0 AS hist_mean, stddev_samp(price_eur_mwh) * 3.0 AS hist_std
+  FROM fct WHERE country_code IS NOT NULL GROUP BY 1, 2, 3),
+target AS (
+  SELECT CASE WHEN region = 'DE' THEN 'DE_LU' WHEN region = 'AT' THEN 'AT' ELSE region END AS country_code,
+         month(min(make_timestamp(timestamp_ms * 1000))) AS month
+  FROM quotes WHERE timestamp_ms IS NOT NULL GROUP BY 1),
+month_rows AS (
+  SELECT b.country_code, b.hour, b.hist_mean, b.hist_std, 'month' AS basis
+  FROM base b JOIN target t ON b.country_code = t.country_code AND b.month = t.month),
+fallback AS (
+  SELECT country_code, hour, avg(hist_mean) AS hist_mean, avg(hist_std) AS hist_std, 'all_months' AS basis
+  FROM base GROUP BY 1, 2),
+band AS (
+  SELECT * FROM month_rows
+  UNION ALL
+  SELECT * FROM fallback f WHERE NOT EXISTS (SELECT 1 FROM month_rows m WHERE m.country_code = f.country_code))
+SELECT country_code, CAST(hour AS INTEGER) AS hour, {O.r('hist_mean', 'hist_mean')}, {O.r('hist_std', 'hist_std')},
+       {O.r('hist_mean + 1.96 * hist_std', 'ci_upper')}, {O.r('hist_mean - 1.96 * hist_std', 'ci_lower')}, basis
+FROM band"""
+
+
+@register("historical_band", BAND_SQL)
+def _band(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.historical_band(f.fct_energy_hourly, _live_points(f))
+
+
+@register("live_prices", O.with_ctes("live") + f"""
+SELECT event_time, region, {O.r('coalesce(price_eur_mwh, expected_price, 0.0)', 'price_eur_mwh')},
+       CAST(hour(event_time) AS INTEGER) AS hour, CAST(month(event_time) AS INTEGER) AS month
+FROM live""")
+def _live_prices(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    good, _ = scoring.split_bad(scoring.decode(live_messages(f)))
+    return serving.live_prices(scoring.score(good, f.fct_price_baselines), snapshot=_points(f))

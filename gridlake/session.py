@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the shared checkpoint root for intermediate tables."""
+    return f"{checkpoint_root(spark)}/gridlake-{kind}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: int | str = 8, app: str = "gridlake", shuffle_partitions: int | None = None) -> SparkSession:
     """A local session for tests and the bench (never used by library code)."""
     parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
