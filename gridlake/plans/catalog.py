@@ -1,8 +1,8 @@
 """Registered queries: one Spark plan and one DuckDB oracle per inventory item.
 
 Every query starts from the driver's tables (through the adapter), so its work grows with
-them. Floating results are rounded to 6 decimals on both sides: summation order differs
-between engines in the last bits (SURVEY §7.4).
+them. Floating results are rounded to 10 significant digits on both sides (after a 12-digit
+snap): summation order differs between engines in the last bits (see ``oracle``).
 """
 from __future__ import annotations
 
@@ -38,7 +38,8 @@ def sig(x: Column, digits: int = O.SIG_DIGITS) -> Column:
 
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(
-        *[sig(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        *[sig(sig(F.col(f.name), O.SNAP_DIGITS)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+          else F.col(f.name)
           for f in df.schema.fields]
     )
 

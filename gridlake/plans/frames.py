@@ -64,7 +64,8 @@ class Frames:
 
     @cached_property
     def date_bounds(self) -> tuple[dt.datetime, dt.datetime]:
-        return gold.span_bounds(self.spark, self.bronze)
+        # from the materialised silver table (the fact's hours), not a scan of bronze
+        return gold.span_bounds(self.spark, self.silver)
 
     @cached_property
     def dim_date(self) -> DataFrame:

@@ -42,11 +42,15 @@ def _case(col: Column, mapping: dict) -> Column:
 
 
 def zone_of(user_id: Column) -> Column:
-    return _case(user_id % len(ZONES), dict(enumerate(ZONES)))
+    """Zone by ``user_id % 5`` (NULL for a NULL or negative id): one lookup in a literal array."""
+    zones = F.array(*[F.lit(z) for z in ZONES])
+    return F.try_element_at(zones, (user_id % len(ZONES)).cast("int") + 1)
 
 
 def metric_of(event_type: Column) -> Column:
-    return _case(event_type, EVENT_METRICS)
+    """Metric name by event type (NULL when unmapped): one lookup in a literal map."""
+    mapping = F.create_map(*[F.lit(x) for kv in EVENT_METRICS.items() for x in kv])
+    return F.try_element_at(mapping, event_type)
 
 
 def hour_of(ts: Column) -> Column:
