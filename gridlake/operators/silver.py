@@ -72,19 +72,16 @@ def features(wide: DataFrame, hours: int = 24, ramp: float = EXTREME_RAMP, share
         F.max("renewable_share").over(frame).alias("max_share_last_24h"),
     ).where(~F.col(rolling.HALO))
     ramp_rate = F.abs(safe_div("load_diff", "load"))
-    out = (
-        windowed.withColumn("is_window_valid", valid)
-        .withColumn("load_diff", F.col("load") - F.col("prev_load"))
-        .withColumn("ramp_rate_pct", ramp_rate)
-        .withColumn("is_extreme_ramp", F.coalesce(F.col("ramp_rate_pct") > F.lit(ramp), F.lit(False)))
-        .withColumn("volatility_24h", F.when(valid, F.col("_vol")))
-        .withColumn(
-            "is_dunkelflaute",
-            F.when(~valid, F.lit(None).cast("boolean"))
-            .when(F.col("max_share_last_24h") < F.lit(share), F.lit(True))
-            .otherwise(F.lit(False)),
-        )
-    )
+    out = windowed.withColumns({
+        "is_window_valid": valid,
+        "load_diff": F.col("load") - F.col("prev_load"),
+        "volatility_24h": F.when(valid, F.col("_vol")),
+        "is_dunkelflaute": F.when(~valid, F.lit(None).cast("boolean"))
+        .when(F.col("max_share_last_24h") < F.lit(share), F.lit(True))
+        .otherwise(F.lit(False)),
+    })
+    out = out.withColumn("ramp_rate_pct", ramp_rate)
+    out = out.withColumn("is_extreme_ramp", F.coalesce(F.col("ramp_rate_pct") > F.lit(ramp), F.lit(False)))
     return calendar(out).select(
         "timestamp", "country", "load", "price", "solar", "wind", "renewable_gen", "residual_load",
         "is_window_valid", "prev_load", "load_diff", "ramp_rate_pct", "is_extreme_ramp", "volatility_24h",

@@ -37,11 +37,13 @@ def sig(x: Column, digits: int = O.SIG_DIGITS) -> Column:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[sig(sig(F.col(f.name), O.SNAP_DIGITS)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-          else F.col(f.name)
-          for f in df.schema.fields]
-    )
+    """Snap doubles to 12 digits, then round to 10 — two projections, so each stage refers
+    to plain columns (one nested expression would repeat the inner stage in the outer)."""
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    if not doubles:
+        return df
+    snapped = df.withColumns({c: sig(F.col(c), O.SNAP_DIGITS) for c in doubles})
+    return snapped.withColumns({c: sig(F.col(c)) for c in doubles})
 
 
 def register(name: str, sql: str | None):
