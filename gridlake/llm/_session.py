@@ -1,7 +1,10 @@
 """Session helpers of the corpus operators: batch size, the shared folder, written intermediate tables."""
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,18 +13,46 @@ BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Cap the Arrow batch so that a Python worker holds a few MB of text at a time."""
+    """Cap the Arrow batch so that a Python worker holds a few MB of text at a time; give workers this package."""
+    _ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
+_shipped: set[str] = set()
+_own_folder: dict[str, str] = {}
+
+
+def _ship(spark: SparkSession) -> None:
+    """Python workers may lack the driver's path: send them the sources, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    packed = Path(tempfile.mkdtemp(prefix="llm-sources-")) / "llm_sources.zip"
+    with zipfile.ZipFile(packed, "w") as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, path.relative_to(top.parent))
+    context.addPyFile(str(packed))
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; it must be shared by the driver and all executors."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named:
+    """The folder in ``spark.checkpoint.dir``, shared by the driver and all executors.
+
+    Where it is unset, a folder of this machine serves a local session (as in tests), whose tasks run in the driver;
+    a cluster must name one.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return named.rstrip("/")
+    if context.applicationId not in _own_folder:
+        _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="llm-shared-")
+    return _own_folder[context.applicationId]
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:
