@@ -1,6 +1,7 @@
 """Queries of the corpus operators and, where SQL can express one, its DuckDB SQL."""
 from __future__ import annotations
 
+from gridlake.llm.bpe import op3_byte_bpe
 from gridlake.llm.decontaminate import op2_decontaminate
 from gridlake.llm.license_scan import op1_license_scan
 from gridlake.llm.license_scan import oracle as license_oracle
@@ -11,7 +12,7 @@ from gridlake.llm.toxicity import op4_toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_decontaminate, op4_toxicity, op6_secret_scan, op9_sharding)}
+    return {f.__name__: f for f in (op1_license_scan, op2_decontaminate, op3_byte_bpe, op4_toxicity, op6_secret_scan, op9_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
