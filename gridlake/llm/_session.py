@@ -63,8 +63,10 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (f"_{stem}{k}" for k in range(len(taken) + 1)) if n.lower() not in taken)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm import _arrays as A
-from gridlake.llm._session import documents, prepare, written
+from gridlake.llm._session import documents, free_name, prepare, written
 
 WINDOW = 13
 #: A document is contaminated if at least one in so many of its words is hit.
@@ -157,6 +157,16 @@ def find(docs: DataFrame, text: str, items: DataFrame, item_id: str, item_text:
         ((F.col("n_hit") > 0) & (LEAST_SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def clean(docs: DataFrame, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """Rows of ``docs`` that aren't contaminated. Contamination depends on the text alone, so texts are told by a digest."""
+    digest = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256)
+    marked = docs.select(digest.alias("digest"), F.col(f"`{text}`").alias("text"))
+    bad = written(find(marked, "text", items, item_id, item_text, ["digest"]).filter("contaminated").select("digest").distinct(), "contaminated")
+    name = free_name(docs, "digest")
+    bad = bad.withColumnRenamed("digest", name)
+    return docs.join(bad, digest == bad[name], "left_anti")
+
+
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Contamination of each document by the items of ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

@@ -214,7 +214,7 @@ def _leaders(state: DataFrame, count: int) -> DataFrame:
 def sketched(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """A written table: id, c0, c1 ... (``carry``), text and the sketch of each row."""
     prepare(docs.sparkSession)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     out = packed.mapInArrow(_sketches, f"row {packed.schema['row'].dataType.simpleString()}, text string, {_SKETCHED}")
     return written(out.select(F.monotonically_increasing_id().alias("id"), "row.*", "text", *[x.split()[0] for x in _SKETCHED.split(", ")]), "sketches")
 
@@ -230,6 +230,17 @@ def groups(table: DataFrame) -> DataFrame:
     return whole.join(found, whole["class"] == found["node"], "left").select("id", F.coalesce("component", "class").alias("grp"))
 
 
+def dedup(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows of ``docs`` without near copies: of each group the row with the least ``key`` (null last) stays."""
+    others = [c for c in docs.columns if c != text]
+    table = sketched(docs, text, others)
+    ranked = groups(table).join(table.select("id", F.col(f"c{others.index(key)}").alias("key")), "id")
+    first = ranked.groupBy("grp").agg(F.min(F.struct(F.col("key").isNull(), "key", "id")).alias("first"))
+    stay = written(first.select(F.col("first.id").alias("id")), "kept")
+    kept = table.select("id", "text", *[f"c{i}" for i in range(len(others))]).join(stay, "id", "left_semi")
+    return kept.select(*[(F.col("text") if c == text else F.col(f"c{others.index(c)}")).alias(c) for c in docs.columns])
+
+
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: doc_id, class_id (the least doc_id of its group), kept (one row of each group), n_shingles."""
     table = sketched(documents(spark, sf_dir), "text", ["doc_id"])

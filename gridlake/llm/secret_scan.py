@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.llm._session import free_name
+
 #: Base patterns by kind, in the order in which ties are listed (fixed values); ``hex`` and ``access`` hold their
 #: least length, because a maximal run that is too short can't hold a longer one.
 BASE = {
@@ -117,33 +119,48 @@ def _mixed(run: Column) -> Column:
     return run.rlike("[0-9]") & run.rlike("[A-Za-z]")
 
 
-def scan(df: DataFrame, text: str, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
-    """``df`` with ``base_spans`` and ``all_spans``: arrays of (start, end, rank, kind) by start, then kind as listed."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    base = [_spans(t, BASE["assign"], "assign", _value_is_long), _spans(t, BASE["access"], "access"), _spans(t, BASE["hex"], "hex")]
+def spans(text: Column, table: list[float], threshold: float = THRESHOLD) -> tuple[Column, Column]:
+    """Base spans and all spans of a text: arrays of (start, rank, end, kind) by start, then kind as listed."""
+    t = F.coalesce(text, F.lit(""))
+    base = F.concat(_spans(t, BASE["assign"], "assign", _value_is_long), _spans(t, BASE["access"], "access"), _spans(t, BASE["hex"], "hex"))
     extra = _spans(t, RUN, "markov", lambda m: _mixed(m) & (mean_ratio(m, table) >= threshold))
-    order = lambda spans: F.transform(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: s)
-    return df.withColumn("_base", F.concat(*base)).withColumn("base_spans", order(F.col("_base"))).withColumn("all_spans", order(F.concat("_base", extra))).drop("_base")
+
+    def ordered(found: Column) -> Column:
+        return F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    return ordered(base), ordered(F.concat(base, extra))
+
+
+def scan(df: DataFrame, text: str, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    """``df`` with ``base_spans`` and ``all_spans``."""
+    base, every = spans(F.col(f"`{text}`"), table, threshold)
+    return df.withColumn("base_spans", base).withColumn("all_spans", every)
 
 
 def spelt(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(df: DataFrame, text: str, table: list[float]) -> DataFrame:
-    """``df`` with each span (joined where they overlap) of ``text`` replaced by ``<secret>``; nulls stay null."""
-    found = scan(df, text, table)
-    t = F.col(text)
+def redact(df: DataFrame, text: str, table: list[float], n_chars: str) -> DataFrame:
+    """``df`` with each span (joined where they overlap) of ``text`` replaced by ``<secret>``; ``n_chars`` is the length
+    of a text that is changed. Other rows and all other columns stay as they are."""
+    found = free_name(df, "spans")
+    t = F.col(f"`{text}`")
+    held = df.withColumn(found, spans(t, table)[1])
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):
         ahead = s["end"] > acc["at"]
-        mark = F.when((s["start"] >= acc["at"]) & ((s["start"] > acc["at"]) | (acc["at"] == 0)), F.lit("<secret>")).otherwise("")
+        apart = (s["start"] > acc["at"]) | (acc["at"] == 0)
+        mark = F.when(apart, F.lit("<secret>")).otherwise("")
         lead = F.when(s["start"] > acc["at"], F.substring(t, acc["at"] + 1, s["start"] - acc["at"])).otherwise("")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(ahead, F.concat(acc["out"], lead, mark)).otherwise(acc["out"]).alias("out"))
 
-    cleaned = F.aggregate(F.col("all_spans"), state, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.greatest(F.length(t) - acc["at"], F.lit(0)))))
-    return found.withColumn(text, F.when(F.size("all_spans") > 0, cleaned).otherwise(t)).drop("base_spans", "all_spans")
+    rest = lambda acc: F.substring(t, acc["at"] + 1, F.greatest(F.length(t) - acc["at"], F.lit(0)))
+    cleaned = F.aggregate(F.col(found), state, step, lambda acc: F.concat(acc["out"], rest(acc)))
+    held = held.withColumn(text, F.when(F.size(found) > 0, cleaned).otherwise(t))
+    kind = df.schema[n_chars].dataType
+    return held.withColumn(n_chars, F.when(F.size(found) > 0, F.length(t)).otherwise(F.col(f"`{n_chars}`")).cast(kind)).drop(found)
 
 
 def op6_secret_scan(spark, sf_dir: str) -> DataFrame:

@@ -193,11 +193,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(grams, weights, constant)
 
 
-def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """``carry`` columns of ``docs`` and the score of each whole text."""
+def score(docs: DataFrame, model: Model, carry: list[str], name: str = "score") -> DataFrame:
+    """``carry`` columns of ``docs`` and the score of each whole text, as ``name``."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
-    packed = docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).alias("row"), F.col("text").cast("string").alias("text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]).alias("row"), F.col("text").cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -205,7 +205,7 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
 
     out = packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, score double")
-    return out.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(carry)], "score")
+    return out.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(carry)], F.col("score").alias(name))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
