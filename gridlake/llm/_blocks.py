@@ -19,7 +19,7 @@ from gridlake.llm._session import prepare, written
 
 #: Bytes of text in a block, unless one text has more. A bucket of hashes gets about as many as a block has; for
 #: tens of TB, larger blocks keep the number of (block, bucket) pairs low.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _CODEC = "zstd"
 
 
