@@ -47,9 +47,9 @@ def unpack_numbers(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel())
 
 
-def blocks(docs: DataFrame, order: str, text: str, carry: list[str], limit: int = BLOCK_BYTES) -> DataFrame:
-    """A written table (block, n_texts, payload). A payload has the columns order, text, c0, c1 ... by order, then text;
-    a null order comes first (as the least long), a null text is empty."""
+def blocks(docs: DataFrame, order: str, text: str, carry: list[str], limit: int = BLOCK_BYTES, marks=None) -> DataFrame:
+    """A written table (block, n_texts, payload, marks). A payload has the columns order, text, c0, c1 ... by order, then
+    text; a null order comes first (as the least long), a null text is empty. ``marks`` makes bytes from a payload."""
     prepare(docs.sparkSession)
     picked = docs.select(F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 63))).alias("order"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                          *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
@@ -60,7 +60,7 @@ def blocks(docs: DataFrame, order: str, text: str, carry: list[str], limit: int
         def block():
             table = pa.Table.from_batches(held).combine_chunks()
             table = table.take(pc.sort_indices(table, [("order", "ascending"), ("text", "ascending")]))
-            return pa.RecordBatch.from_arrays([pa.array([(part << 33) | number], pa.int64()), pa.array([len(table)], pa.int32()), pa.array([pack(table)], pa.binary())], ["block", "n_texts", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array([(part << 33) | number], pa.int64()), pa.array([len(table)], pa.int32()), pa.array([pack(table)], pa.binary()), pa.array([marks(table) if marks else None], pa.binary())], ["block", "n_texts", "payload", "marks"])
 
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -81,7 +81,7 @@ def blocks(docs: DataFrame, order: str, text: str, carry: list[str], limit: int
         if held:
             yield block()
 
-    return written(picked.mapInArrow(run, "block long, n_texts int, payload binary"), "blocks")
+    return written(picked.mapInArrow(run, "block long, n_texts int, payload binary, marks binary"), "blocks")
 
 
 def bucket_bits(n_blocks: int) -> int:

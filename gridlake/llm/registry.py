@@ -11,11 +11,14 @@ from gridlake.llm.secret_scan import op6_secret_scan
 from gridlake.llm.sharding import op9_sharding
 from gridlake.llm.sharding import oracle as sharding_oracle
 from gridlake.llm.substring_dedup import op8_substring_dedup
+from gridlake.llm.suffix_dedup import op10_suffix_dedup
 from gridlake.llm.toxicity import op4_toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_decontaminate, op3_byte_bpe, op4_toxicity, op5_near_dedup, op6_secret_scan, op7_embedding_dedup, op8_substring_dedup, op9_sharding)}
+    return {f.__name__: f for f in (
+        op1_license_scan, op2_decontaminate, op3_byte_bpe, op4_toxicity, op5_near_dedup,
+        op6_secret_scan, op7_embedding_dedup, op8_substring_dedup, op9_sharding, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
