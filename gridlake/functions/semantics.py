@@ -107,14 +107,14 @@ def region_to_zone(region: Column | str) -> Column:
     return expr.otherwise(region)
 
 
+# The months of the seasons, and the first and last peak hour.
+SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8), "Autumn": (9, 10, 11)}
+PEAK_HOURS = (8, 20)
+
+
 def season(month: Column | str) -> Column:
     month = _c(month)
-    return (
-        F.when(month.isin(12, 1, 2), F.lit("Winter"))
-        .when(month.isin(3, 4, 5), F.lit("Spring"))
-        .when(month.isin(6, 7, 8), F.lit("Summer"))
-        .when(month.isin(9, 10, 11), F.lit("Autumn"))
-    )
+    return F.coalesce(*[F.when(month.isin(*months), F.lit(name)) for name, months in SEASONS.items()])
 
 
 # Day names in Spark's dayofweek order (1 = Sunday … 7 = Saturday).
@@ -136,4 +136,4 @@ def is_weekend(day_index: Column | str) -> Column:
 
 def is_peak_hour(hour: Column | str) -> Column:
     """08:00–20:00, both ends inclusive."""
-    return _c(hour).between(8, 20)
+    return _c(hour).between(*PEAK_HOURS)

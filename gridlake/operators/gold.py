@@ -2,9 +2,10 @@
 
 Join strategy: the zone seed and the hour spine are dimensions whose row counts are known on
 the driver before anything runs (seed rows; hours between the spine bounds), so they are
-broadcast when below ``BROADCAST_ROWS`` and joined normally otherwise. Aggregates that are
-joined back (monthly baseline, price profile) are left to AQE, which broadcasts them from
-their measured size at run time.
+broadcast when below ``BROADCAST_BYTES`` and joined normally otherwise. Aggregates that are
+joined back (monthly baseline, price profile, month-hour baseline) have a bound of their own,
+zones times cells; where the caller names it, they are broadcast too, so that hours are not
+shuffled on a few hundred keys. Without a named bound the planner decides.
 """
 from __future__ import annotations
 
@@ -29,13 +30,17 @@ from gridlake.functions.semantics import (
 from gridlake.sources import seeds
 from gridlake.sources.spine import hour_spine, spine_rows
 
-# Largest dimension (rows) we broadcast by hint; a 5M-row spine is ~570 years of hours.
-BROADCAST_ROWS = 5_000_000
+# Largest side we broadcast by hint, and what a row takes at most in a hash relation, by column.
+BROADCAST_BYTES = 64 << 20
+COLUMN_BYTES = 24
+# Cells of a zone in the price profile (month, weekday, hour) and in the month-hour baseline.
+PROFILE_CELLS = 12 * 7 * 24
+MONTH_HOUR_CELLS = 12 * 24
 
 
-def maybe_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only a side whose row count is known and bounded; otherwise let the planner decide."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df
+def maybe_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast only a side whose row count is known and whose bytes are bounded; otherwise let the planner decide."""
+    return F.broadcast(df) if rows is not None and rows * COLUMN_BYTES * len(df.columns) <= limit else df
 
 
 # ------------------------------------------------------------------------------ staging
@@ -216,21 +221,19 @@ def monthly_price(fact: DataFrame) -> DataFrame:
     )
 
 
-def financial_risk(fact: DataFrame) -> DataFrame:
+def financial_risk(fact: DataFrame, month_rows: int | None = None) -> DataFrame:
     """Dunkelflaute cost against the zone's monthly mean price.
 
-    The monthly baseline is an aggregate joined back (left) on (country, year, month); its
-    size is zones × months, which AQE measures and broadcasts. Rows with NULL year/month
-    never match it (R6), exactly like the SQL join.
+    The monthly baseline is an aggregate joined back (left) on (country, year, month); it has
+    ``month_rows`` = zones × months rows at most and is broadcast by that bound. Rows with NULL
+    year/month never match it (R6), exactly like the SQL join.
     """
-    m = monthly_price(fact)
+    m = maybe_broadcast(monthly_price(fact), month_rows)
     events = fact.where((F.col("is_dunkelflaute") == F.lit(True)) & F.col("price_eur_mwh").isNotNull())
     joined = events.join(m, ["country_code", "year", "month"], "left")
     risk = joined.groupBy("country_code", "country_name", "year", "month").agg(
         F.count(F.lit(1)).alias("hours_in_dunkelflaute"),
-        F.sum(F.when(F.col("price_eur_mwh").isNotNull(), F.col("load_mw")).otherwise(F.lit(0.0))).alias(
-            "priced_load_mwh_at_risk"
-        ),
+        F.sum("load_mw").alias("priced_load_mwh_at_risk"),
         F.sum((F.col("price_eur_mwh") - F.col("monthly_avg_price")) * F.col("load_mw")).alias(
             "total_dunkelflaute_cost_eur"
         ),
@@ -272,9 +275,12 @@ def duck_curve(fact: DataFrame) -> DataFrame:
     )
 
 
-def price_anomaly(fact: DataFrame, baselines: DataFrame, k: float = ANOMALY_SIGMAS) -> DataFrame:
+def price_anomaly(fact: DataFrame, baselines: DataFrame, k: float = ANOMALY_SIGMAS,
+                  baseline_rows: int | None = None) -> DataFrame:
     """Priced hours ⋈ baseline (inner, D5) on zone, month, weekday, hour; z-score and status.
 
+    ``baseline_rows``: the most that the baseline can have, if known (zones × ``PROFILE_CELLS``).
+
     The weekday on both sides is Spark's 1 = Sunday … 7 = Saturday (R1 fixed).
     """
     hourly = fact.where(F.col("price_eur_mwh").isNotNull()).select(
@@ -289,7 +295,7 @@ def price_anomaly(fact: DataFrame, baselines: DataFrame, k: float = ANOMALY_SIGM
     b = baselines.select(
         "country_code", "month_of_year", "day_of_week", "hour_of_day", "avg_price_baseline", "stddev_price_baseline"
     )
-    joined = hourly.join(b, ["country_code", "month_of_year", "day_of_week", "hour_of_day"], "inner")
+    joined = hourly.join(maybe_broadcast(b, baseline_rows), ["country_code", "month_of_year", "day_of_week", "hour_of_day"], "inner")
     return anomaly_columns(joined, k)
 
 
@@ -322,8 +328,11 @@ def month_hour_baseline(fact: DataFrame, factor: float = 1.0, zone: str = "count
     )
 
 
-def price_anomaly_month_hour(fact: DataFrame, k: float = ANOMALY_SIGMAS) -> DataFrame:
-    """Anomaly status against (zone, month, hour) cells, which hold enough samples for 3σ."""
+def price_anomaly_month_hour(fact: DataFrame, k: float = ANOMALY_SIGMAS, zones: int | None = None) -> DataFrame:
+    """Anomaly status against (zone, month, hour) cells, which hold enough samples for 3σ.
+
+    ``zones``: the most that the fact can have, if known; it bounds the baseline.
+    """
     base = month_hour_baseline(fact).select(
         "country_code",
         F.col("month").alias("month_of_year"),
@@ -335,4 +344,5 @@ def price_anomaly_month_hour(fact: DataFrame, k: float = ANOMALY_SIGMAS) -> Data
         "energy_event_id", "event_time", "country_code", "price_eur_mwh",
         F.month("event_time").alias("month_of_year"), F.hour("event_time").alias("hour_of_day"),
     )
+    base = maybe_broadcast(base, None if zones is None else zones * MONTH_HOUR_CELLS)
     return anomaly_columns(hourly.join(base, ["country_code", "month_of_year", "hour_of_day"], "inner"), k)

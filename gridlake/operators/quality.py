@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlake.operators.gold import maybe_broadcast
+
 REPORT = T.StructType(
     [
         T.StructField("check", T.StringType(), False),
@@ -49,22 +51,25 @@ def unique(df: DataFrame, table: str, column: str, severity: str = "error") -> D
     return dupes.agg(*_row("unique", table, column, severity, F.count_if(F.col("n") > 1)))
 
 
+def _stacked(one_row: DataFrame, rows: list[tuple]) -> DataFrame:
+    """Report rows from a frame of one row: (check, table, column, severity, name of the failing count)."""
+    text = lambda x: "CAST(NULL AS STRING)" if x is None else "'" + x.replace("'", "\\'") + "'"
+    cells = ", ".join(f"{text(c)}, {text(t)}, {text(col)}, {text(sev)}, coalesce(CAST(`{n}` AS BIGINT), 0L)" for c, t, col, sev, n in rows)
+    stacked = one_row.selectExpr(f"stack({len(rows)}, {cells}) AS (`check`, `table`, `column`, severity, failing_rows)")
+    return stacked.withColumn("passed", F.col("failing_rows") == 0)
+
+
 def not_null(df: DataFrame, table: str, columns: list[str], severity: str = "error") -> DataFrame:
     """NULL count per column, all columns in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
-    parts = [counts.select(*_row("not_null", table, c, severity, F.col(f"n{i}"))) for i, c in enumerate(columns)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _stacked(counts, [("not_null", table, c, severity, f"n{i}") for i, c in enumerate(columns)])
 
 
 def relationship(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str,
                  severity: str = "error", parent_rows: int | None = None) -> DataFrame:
     """Child rows whose non-NULL key is missing from the parent."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    if parent_rows is not None and parent_rows <= 1_000_000:
-        keys = F.broadcast(keys)
+    keys = maybe_broadcast(keys, parent_rows)
     orphans = child.where(F.col(column).isNotNull()).select(column).join(keys, column, "left_anti")
     return orphans.agg(*_row("relationships", table, column, severity, F.count(F.lit(1))))
 
@@ -127,6 +132,50 @@ def subzone_check(df: DataFrame, table: str, column: str = "country", prefix: st
     return agg.select(*_row("subzones", table, column, severity, failing))
 
 
+def bronze_checks(bronze: DataFrame, table: str, target_zones: list[str] | None = None, minimum: int = MIN_BRONZE_ROWS,
+                  words: list[str] = METRIC_KEYWORDS, columns: list[str] = CRITICAL_COLUMNS) -> DataFrame:
+    """All checks of bronze rows (F6–F10) from one scan: rows and NULLs are counted by zone and metric first (a handful
+    of groups, summed before the shuffle), and the checks read these counts alone."""
+    counted = bronze.groupBy("country", "metric_name").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns])
+    has = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
+    missing = sum((F.when(has(F.col("metric_name").contains(w)), 0).otherwise(1) for w in words), F.lit(0))
+    zones = F.array_compact(F.collect_set("country"))
+    target = F.array(*[F.lit(z) for z in target_zones or []]).cast("array<string>")
+    one = counted.agg(
+        F.greatest(F.lit(minimum) - F.coalesce(F.sum("rows"), F.lit(0)), F.lit(0)).alias("short"),
+        missing.alias("keywords"),
+        (F.when(has(F.col("country").startswith(SUBZONE_PREFIX)), 0).otherwise(1)
+         + F.when(has(F.col("country") == SUBZONE_EXPECTED), 0).otherwise(1)).alias("subzones"),
+        F.size(F.array_except(zones, target)).alias("unexpected"),
+        F.size(F.array_except(target, zones)).alias("missing"),
+        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in columns],
+    )
+    rows = [("min_rows", table, None, "warn", "short"), ("metric_keywords", table, "metric_name", "warn", "keywords"),
+            ("subzones", table, "country", "warn", "subzones"), *[("not_null", table, c, "error", f"null_{c}") for c in columns]]
+    if target_zones is not None:
+        rows += [("zones_unexpected", table, "country", "error", "unexpected"), ("zones_missing", table, "country", "warn", "missing")]
+    return _stacked(one, rows)
+
+
+def unparsable(counts: DataFrame, table: str, severity: str = "warn") -> DataFrame:
+    """Cells that hold text but no number, from one row of counts by column (S4); they are NULL in bronze."""
+    total = sum((F.col(f"`{c}`") for c in counts.columns), F.lit(0))
+    return _stacked(counts.select(total.alias("n")), [("unparsable_cells", table, None, severity, "n")])
+
+
+class QualityError(ValueError):
+    """A check of severity ``error`` has failed."""
+
+
+def gate(checked: DataFrame) -> DataFrame:
+    """Raise if a check of severity ``error`` failed; else return the report. The report has a row for each check."""
+    failed = checked.where((F.col("severity") == "error") & ~F.col("passed")).orderBy("check", "table", "column").collect()
+    if failed:
+        raise QualityError("; ".join(f"{r['check']} {r['table']}.{r['column']}: {r['failing_rows']}" for r in failed))
+    return checked
+
+
 def null_profile(df: DataFrame, table: str) -> DataFrame:
     """One row per table: NULL count of every column."""
     return df.agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("rows"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.semantics import BAND_Z
-from gridlake.operators.gold import month_hour_baseline
+from gridlake.operators.gold import maybe_broadcast, month_hour_baseline
 
 # The dashboard's baseline correction factor.
 DASHBOARD_FACTOR = 3.0
@@ -90,26 +90,39 @@ def duck_shape(duck: DataFrame, country: str | None = None, year: int | None = N
     )
 
 
+def first_n(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first ``n`` rows in a stated order (H4); ties are broken by all other columns, so the rows are certain."""
+    keys = [c if not isinstance(c, str) else F.col(c).asc_nulls_last() for c in order]
+    return df.orderBy(*keys, *[F.col(c).asc_nulls_last() for c in df.columns]).limit(n)
+
+
 def historical_band(fact: DataFrame, live: DataFrame, factor: float = DASHBOARD_FACTOR, zone: str = "country_code",
-                    band_z: float = BAND_Z) -> DataFrame:
+                    band_z: float = BAND_Z, zones: int | None = None) -> DataFrame:
     """Historical price band per (zone, hour) for the live month.
 
     The (zone, month, hour) baseline is scaled by ``factor``; for each zone the month of its
     earliest live row is the target. Zones whose target month has baseline rows use them;
-    the others (no such month, or no live rows) use the mean over months per hour.
+    the others (no such month, or no live rows) use the mean over months per hour. Quotes are
+    reduced to one month a zone, which is broadcast where ``zones`` bounds it; the baseline is
+    built once, and both cases are conditional means of one aggregate over it.
     """
     base = month_hour_baseline(fact, factor, zone)
     target = live.where(F.col("country_code").isNotNull()).groupBy("country_code").agg(
-        F.month(F.min("event_time")).alias("month")
+        F.month(F.min("event_time")).alias("target")
     )
-    month_rows = base.join(target, ["country_code", "month"], "inner").select(
-        "country_code", "hour", "hist_mean", "hist_std", F.lit("month").alias("basis")
+    matched = base.join(maybe_broadcast(target, zones), "country_code", "left").withColumn(
+        "on", F.coalesce(F.col("month") == F.col("target"), F.lit(False)))
+    by_hour = matched.groupBy("country_code", "hour").agg(
+        F.bool_or("on").alias("has"),
+        *[F.avg(F.when(F.col("on"), F.col(c))).alias(f"month_{c}") for c in ("hist_mean", "hist_std")],
+        *[F.avg(c).alias(f"all_{c}") for c in ("hist_mean", "hist_std")],
     )
-    fallback = base.groupBy("country_code", "hour").agg(
-        F.avg("hist_mean").alias("hist_mean"), F.avg("hist_std").alias("hist_std")
-    ).withColumn("basis", F.lit("all_months"))
-    covered = month_rows.select("country_code").distinct()
-    rows = month_rows.unionByName(fallback.join(covered, "country_code", "left_anti"))
+    # a zone whose month has any hour shows that month's hours only
+    covered = Window.partitionBy("country_code")
+    rows = by_hour.withColumn("covered", F.bool_or("has").over(covered)).where(F.col("has") | ~F.col("covered"))
+    pick = lambda c: F.when(F.col("covered"), F.col(f"month_{c}")).otherwise(F.col(f"all_{c}")).alias(c)
+    rows = rows.select("country_code", "hour", pick("hist_mean"), pick("hist_std"),
+                       F.when(F.col("covered"), "month").otherwise("all_months").alias("basis"))
     return rows.select(
         "country_code", "hour", "hist_mean", "hist_std",
         (F.col("hist_mean") + F.lit(band_z) * F.col("hist_std")).alias("ci_upper"),
@@ -119,20 +132,22 @@ def historical_band(fact: DataFrame, live: DataFrame, factor: float = DASHBOARD_
 
 
 def live_prices(realtime: DataFrame, snapshot: DataFrame | None = None, region: str | None = None) -> DataFrame:
-    """Live rows with hour and month, by hour.
+    """Live rows with hour and month (L7); in time order where one region is selected.
 
-    A missing price falls back to the expected price, then 0. When the real-time table is
-    empty and a snapshot of price points is given, the snapshot is served instead (one
-    ``isEmpty`` probe: a single row at most reaches the driver).
+    Prices are served as they are, NULL too. Only a frame without a price column falls back: to the expected price,
+    or to 0 without that. When the real-time table is empty and a snapshot of price points is given, the snapshot is
+    served instead (one ``isEmpty`` probe of the stored table: a single row at most reaches the driver).
     """
     source = realtime
     if snapshot is not None and realtime.isEmpty():
-        source = snapshot.withColumn("expected_price", F.lit(None).cast("double"))
-    rows = _eq(source, "region", region)
-    return rows.select(
+        source = snapshot
+    price = next((F.col(c) for c in ("price_eur_mwh", "expected_price") if c in source.columns), F.lit(0.0))
+    rows = _eq(source, "region", region).select(
         "event_time",
         "region",
-        F.coalesce(F.col("price_eur_mwh"), F.col("expected_price"), F.lit(0.0)).alias("price_eur_mwh"),
+        price.cast("double").alias("price_eur_mwh"),
         F.hour("event_time").alias("hour"),
         F.month("event_time").alias("month"),
-    ).orderBy(F.col("region").asc_nulls_last(), F.col("hour").asc_nulls_last(), F.col("event_time").asc_nulls_last())
+    )
+    # all regions together have no use for one order, and sorting them would meet in few tasks
+    return rows if region is None else rows.orderBy(F.col("hour").asc_nulls_last(), F.col("event_time").asc_nulls_last())

@@ -1,11 +1,10 @@
 """Bronze long -> silver wide features and the price profile."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.semantics import DUNKELFLAUTE_SHARE, EXTREME_RAMP, dow, safe_div
-from gridlake.operators import rolling
 
 # Metric groups, matched in this order by substring of the metric name.
 METRIC_GROUPS = [("price_day_ahead", "price"), ("load", "load"), ("solar", "solar"), ("wind", "wind")]
@@ -53,33 +52,41 @@ def power_columns(wide: DataFrame) -> DataFrame:
 
 
 def features(wide: DataFrame, hours: int = 24, ramp: float = EXTREME_RAMP, share: float = DUNKELFLAUTE_SHARE,
-             chunk_days: int = rolling.DEFAULT_CHUNK_DAYS, block_rows: int = rolling.DEFAULT_BLOCK_ROWS,
-             materialize: bool = True) -> DataFrame:
-    """Silver feature table (C13–C20, G1–G4): ramp rate, 24-row volatility, dunkelflaute.
+             frame: str = "rows") -> DataFrame:
+    """Silver feature table (C13–C20, G1–G4): ramp rate, 24-hour volatility, dunkelflaute.
 
-    Row frames: the first ``hours - 1`` rows of a zone have NULL volatility and NULL
-    dunkelflaute flag; a gap in the hours stretches the frame (R5). The windows run per
-    (zone, block) with a ``hours - 1`` row halo (see ``rolling``), so no zone is one task.
+    One window per zone: a zone has one row for each hour, so a task holds as many rows as there are hours in the
+    history, whatever the number of measurements. Rows without a zone are a series of their own, rows without a
+    timestamp come first in their series; none is dropped.
+
+    ``frame="rows"``: the last ``hours`` rows; a gap stretches the frame (R5). ``frame="range"``: the rows of the last
+    ``hours`` hours, whether or not all of them are there. In both, the first ``hours - 1`` rows (or hours) of a zone
+    have NULL volatility and NULL dunkelflaute flag.
     """
     base = power_columns(wide).withColumn("renewable_share", safe_div("renewable_gen", "load"))
-    prepared, w = rolling.blocked(base, "country", "timestamp", hours - 1, chunk_days, block_rows, materialize)
-    frame = w.rowsBetween(-(hours - 1), 0)
-    valid = F.col(rolling.ROW) >= hours
-    windowed = prepared.select(
+    w = Window.partitionBy("country").orderBy("timestamp")
+    if frame == "rows":
+        recent = w.rowsBetween(-(hours - 1), 0)
+        valid = F.row_number().over(w) >= hours
+    elif frame == "range":
+        seconds = F.unix_timestamp(F.col("timestamp").cast("timestamp"))
+        by_time = Window.partitionBy("country").orderBy(seconds)
+        recent = by_time.rangeBetween(-(hours - 1) * 3600, 0)
+        valid = F.coalesce(seconds - F.min(seconds).over(by_time) >= (hours - 1) * 3600, F.lit(False))
+    else:
+        raise ValueError(f"frame is 'rows' or 'range', not {frame!r}")
+    out = base.select(
         "*",
+        valid.alias("is_window_valid"),
         F.lag("load", 1).over(w).alias("prev_load"),
-        F.stddev_samp("price").over(frame).alias("_vol"),
-        F.max("renewable_share").over(frame).alias("max_share_last_24h"),
-    ).where(~F.col(rolling.HALO))
-    ramp_rate = F.abs(safe_div("load_diff", "load"))
-    out = windowed.withColumns({
-        "is_window_valid": valid,
+        F.stddev_samp("price").over(recent).alias("_vol"),
+        F.max("renewable_share").over(recent).alias("max_share_last_24h"),
+    ).withColumns({
         "load_diff": F.col("load") - F.col("prev_load"),
-        "volatility_24h": F.when(valid, F.col("_vol")),
-        "is_dunkelflaute": F.when(~valid, F.lit(None).cast("boolean"))
-        .when(F.col("max_share_last_24h") < F.lit(share), F.lit(True))
-        .otherwise(F.lit(False)),
+        "volatility_24h": F.when(F.col("is_window_valid"), F.col("_vol")),
+        "is_dunkelflaute": F.when(F.col("is_window_valid"), F.coalesce(F.col("max_share_last_24h") < F.lit(share), F.lit(False))),
     })
+    ramp_rate = F.abs(safe_div("load_diff", "load"))
     out = out.withColumn("ramp_rate_pct", ramp_rate)
     out = out.withColumn("is_extreme_ramp", F.coalesce(F.col("ramp_rate_pct") > F.lit(ramp), F.lit(False)))
     return calendar(out).select(

@@ -1,8 +1,9 @@
 """Registered queries: one Spark plan and one DuckDB oracle per inventory item.
 
 Every query starts from the driver's tables (through the adapter), so its work grows with
-them. Floating results are rounded to 10 significant digits on both sides (after a 12-digit
-snap): summation order differs between engines in the last bits (see ``oracle``).
+them. Floating results that sums go into are rounded to 10 significant digits on both sides
+(after a 12-digit snap): summation order differs between engines in the last bits (see
+``oracle``). Values that are only passed on (``exact``) are compared as they are.
 """
 from __future__ import annotations
 
@@ -36,19 +37,19 @@ def sig(x: Column, digits: int = O.SIG_DIGITS) -> Column:
     )
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, exact: frozenset[str] = frozenset()) -> DataFrame:
     """Snap doubles to 12 digits, then round to 10 — two projections, so each stage refers
     to plain columns (one nested expression would repeat the inner stage in the outer)."""
-    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)} - exact
     if not doubles:
         return df
     snapped = df.withColumns({c: sig(F.col(c), O.SNAP_DIGITS) for c in doubles})
     return snapped.withColumns({c: sig(F.col(c)) for c in doubles})
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, exact: tuple[str, ...] = ()):
     def deco(fn: Callable[[Frames], DataFrame]):
-        _QUERIES[name] = lambda spark, sf_dir: rounded(fn(Frames(spark, sf_dir)))
+        _QUERIES[name] = lambda spark, sf_dir: rounded(fn(Frames(spark, sf_dir)), frozenset(exact))
         if sql is not None:
             _SQL[name] = sql
         return fn
@@ -69,7 +70,7 @@ def _sel(cte: str, cols: list[str], doubles: set[str]) -> str:
 
 
 # --------------------------------------------------------------------------- bronze
-@register("bronze_long", _sel("bronze", ["timestamp", "country", "metric_name", "value", "year", "month"], {"value"}))
+@register("bronze_long", _sel("bronze", ["timestamp", "country", "metric_name", "value", "year", "month"], set()), exact=("value",))
 def _bronze_long(f: Frames) -> DataFrame:
     return f.bronze
 
@@ -198,7 +199,11 @@ RISK_DOUBLES = {"priced_load_mwh_at_risk", "baseline_monthly_price", "avg_price_
 
 @register("financial_risk", _sel("risk", RISK_COLS, RISK_DOUBLES))
 def _risk(f: Frames) -> DataFrame:
-    return gold.financial_risk(f.fct_energy_hourly)
+    return _risk_mart(f)
+
+
+def _risk_mart(f: Frames) -> DataFrame:
+    return gold.financial_risk(f.fct_energy_hourly, f.month_rows)
 
 
 DUCK_COLS = ["country_name", "year", "month", "hour_of_day", "avg_total_load", "avg_solar_generation",
@@ -217,17 +222,23 @@ ANOM_DOUBLES = {"actual_price", "expected_price", "stddev_price_baseline", "pric
 
 @register("price_anomaly", _sel("anomaly", ANOM_COLS, ANOM_DOUBLES))
 def _anomaly(f: Frames) -> DataFrame:
-    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines)
+    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, baseline_rows=f.profile_rows)
+
+
+@register("price_anomaly_one_sigma", O.with_ctes("anomaly") + ", one AS (" + O.anomaly_cte(1.0) + ")\n"
+          + f"SELECT {', '.join(O.r(c, c) if c in ANOM_DOUBLES else c for c in ANOM_COLS)} FROM one")
+def _anomaly_one(f: Frames) -> DataFrame:
+    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, k=1.0, baseline_rows=f.profile_rows)
 
 
 @register("price_anomaly_month_hour", _sel("anomaly_mh", ANOM_COLS, ANOM_DOUBLES))
 def _anomaly_mh(f: Frames) -> DataFrame:
-    return gold.price_anomaly_month_hour(f.fct_energy_hourly)
+    return gold.price_anomaly_month_hour(f.fct_energy_hourly, zones=f.zones)
 
 
 # ------------------------------------------------------------------------ streaming
 LIVE_SQL = O.with_ctes("live") + f"""
-SELECT event_time, region, {O.r('price_eur_mwh', 'price_eur_mwh')}, {O.r('expected_price', 'expected_price')},
+SELECT event_time, region, price_eur_mwh, {O.r('expected_price', 'expected_price')},
        {O.r('z_score', 'z_score')},
        CASE WHEN z_score > 3 THEN 'CRITICAL' WHEN z_score > 2 THEN 'WARNING'
             WHEN z_score < -2 THEN 'OPPORTUNITY' ELSE 'NORMAL' END AS anomaly_level
@@ -240,10 +251,14 @@ def live_messages(f: Frames) -> DataFrame:
     return q.select(F.to_json(F.struct("timestamp_ms", "price_eur_mwh", "unit", "region", "ingested_at")).alias("value"))
 
 
-@register("live_scores", LIVE_SQL)
-def _live(f: Frames) -> DataFrame:
+def _scored(f: Frames) -> DataFrame:
     good, _ = scoring.split_bad(scoring.decode(live_messages(f)))
-    return scoring.score(good, f.fct_price_baselines)
+    return scoring.score(good, f.fct_price_baselines, lookup_rows=f.profile_rows)
+
+
+@register("live_scores", LIVE_SQL, exact=("price_eur_mwh",))
+def _live(f: Frames) -> DataFrame:
+    return _scored(f)
 
 
 # ------------------------------------------------------------------- feed payloads
@@ -257,18 +272,30 @@ def _points(f: Frames) -> DataFrame:
 
 
 @register("payload_explode", O.with_ctes("docs") + f"""
-SELECT event_id, region, start_timestamp, end_timestamp, {O.r('marketprice', 'marketprice')}, unit,
-       make_timestamp(start_timestamp * 1000) AS event_time, {O.r('marketprice', 'price_eur_mwh')},
+SELECT event_id, region, start_timestamp, end_timestamp, marketprice, unit,
+       make_timestamp(start_timestamp * 1000) AS event_time, marketprice AS price_eur_mwh,
        CAST(hour(make_timestamp(start_timestamp * 1000)) AS INTEGER) AS hour,
        CAST(month(make_timestamp(start_timestamp * 1000)) AS INTEGER) AS month
-FROM docs""")
+FROM docs""", exact=("marketprice", "price_eur_mwh"))
 def _payload(f: Frames) -> DataFrame:
     return _points(f)
 
 
-@register("publish_json", O.with_ctes("quotes") + f"""
-SELECT timestamp_ms, {O.r('price_eur_mwh', 'price_eur_mwh')}, unit, region, {O.r('ingested_at', 'ingested_at')}
-FROM quotes""")
+@register("payload_lists", O.with_ctes("docs") + """
+SELECT region, count(*) AS n_points, start_timestamp, end_timestamp, marketprice, unit,
+       CAST(make_timestamp(start_timestamp * 1000) AS DATE) AS day
+FROM docs WHERE region IS NOT NULL GROUP BY ALL""", exact=("marketprice",))
+def _payload_lists(f: Frames) -> DataFrame:
+    from gridlake.sources import payload
+    points = payload.price_points(payload.parse_payload(driver_tables.payload_lists(f.events)))
+    keys = ["region", "start_timestamp", "end_timestamp", "marketprice", "unit"]
+    return points.groupBy(*keys, F.to_date("event_time").alias("day")).agg(F.count(F.lit(1)).alias("n_points"))
+
+
+# the time of arrival as whole microseconds, so that no fraction of a second escapes the comparison
+@register("publish_json", O.with_ctes("quotes") + """
+SELECT timestamp_ms, price_eur_mwh, unit, region, CAST(round(ingested_at * 1e6) AS BIGINT) AS ingested_at_us
+FROM quotes""", exact=("price_eur_mwh",))
 def _publish(f: Frames) -> DataFrame:
     from gridlake import schemas
     from gridlake.sinks import writers
@@ -278,17 +305,18 @@ def _publish(f: Frames) -> DataFrame:
     msgs = writers.publish_messages(q, ingested_at=F.col("ingested_at"))
     full = schemas.STREAM_MESSAGE.add("unit", "string")
     return msgs.select(F.from_json("value", full).alias("m")).select(
-        "m.timestamp_ms", "m.price_eur_mwh", "m.unit", "m.region", "m.ingested_at")
+        "m.timestamp_ms", "m.price_eur_mwh", "m.unit", "m.region",
+        F.round(F.col("m.ingested_at") * 1e6).cast("long").alias("ingested_at_us"))
 
 
 SNAPSHOT_TIME = "2024-02-01 00:00:00"
 
 
 @register("snapshot_rows", O.with_ctes("docs") + f"""
-SELECT start_timestamp, end_timestamp, {O.r('marketprice', 'marketprice')}, unit, region,
+SELECT start_timestamp, end_timestamp, marketprice, unit, region,
        strftime(TIMESTAMP '{SNAPSHOT_TIME}', '%Y-%m-%dT%H:%M:%S.%f') AS ingestion_time,
        strftime(TIMESTAMP '{SNAPSHOT_TIME}', '%Y%m%d') AS snapshot_date
-FROM docs""")
+FROM docs""", exact=("marketprice",))
 def _snapshot(f: Frames) -> DataFrame:
     from gridlake.sinks import writers
     return writers.snapshot_rows(_points(f), ingestion_time=SNAPSHOT_TIME)
@@ -329,7 +357,10 @@ DQ_PARTS = [
     _dq("relationships", "fct_energy_hourly", "country_code", "error",
         "SELECT count(*) FROM fct f WHERE f.country_code IS NOT NULL AND NOT EXISTS "
         "(SELECT 1 FROM dim_country c WHERE c.country_code = f.country_code)"),
-    _dq("columns_present", "bronze", None, "error", "SELECT 0"),
+    _dq("columns_present", "bronze", None, "error",
+        "SELECT count(*) FROM (VALUES ('timestamp'), ('country'), ('metric_name'), ('value'), ('year'), ('month')) n(c) "
+        "WHERE c NOT IN (SELECT unnest(json_keys(to_json(b))) FROM (SELECT * FROM bronze LIMIT 1) b) "
+        "AND EXISTS (SELECT 1 FROM bronze)"),
     _dq("min_rows", "bronze", None, "warn", "SELECT greatest(1000000 - count(*), 0) FROM bronze"),
     _dq("zones_unexpected", "bronze", "country", "error",
         "SELECT count(*) FROM (SELECT DISTINCT country AS zone FROM bronze WHERE country IS NOT NULL) a "
@@ -359,8 +390,7 @@ def _dq_report(f: Frames) -> DataFrame:
     from gridlake.sources.wide_csv import discover_zones
     spark = f.spark
     metrics = g.dim_energy_metrics(spark)
-    anomaly = g.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines)
-    header_zones = spark.createDataFrame([(z,) for z in discover_zones(driver_tables.wide_columns())], "country string")
+    anomaly = g.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, baseline_rows=f.profile_rows)
     checks = [
         dq.unique(f.dim_country, "dim_country", "country_code"),
         dq.unique(f.dim_date, "dim_date", "time_key"),
@@ -379,11 +409,7 @@ def _dq_report(f: Frames) -> DataFrame:
         dq.relationship(f.fct_energy_hourly, "fct_energy_hourly", "country_code", f.dim_country, "country_code",
                         parent_rows=seeds.COUNTRY_SEED_ROWS),
         dq.columns_present(spark, f.bronze, "bronze"),
-        dq.min_rows(f.bronze, "bronze"),
-        dq.zone_match(f.bronze, header_zones, "bronze"),
-        dq.keywords(f.bronze, "bronze"),
-        dq.not_null(f.bronze, "bronze", dq.CRITICAL_COLUMNS),
-        dq.subzone_check(f.bronze, "bronze"),
+        dq.bronze_checks(f.bronze, "bronze", discover_zones(driver_tables.wide_columns())),
     ]
     return dq.report(checks)
 
@@ -399,6 +425,22 @@ def _zone_diff(f: Frames) -> DataFrame:
     return dq.zone_set_diff(f.bronze, f.dim_country.select(F.col("country_code").alias("country")))
 
 
+@register("orphan_zones", O.with_ctes("fct", "dim_country") + """
+SELECT f.country_code, count(*) AS rows FROM fct f
+WHERE f.country_code IS NOT NULL AND f.country_code NOT IN (SELECT country_code FROM dim_country WHERE eu_region = 'Northern Europe')
+GROUP BY f.country_code""")
+def _orphans(f: Frames) -> DataFrame:
+    from gridlake.operators import quality as dq
+    return dq.orphans(f.fct_energy_hourly, "country_code", f.dim_country.where("eu_region = 'Northern Europe'"), "country_code")
+
+
+@register("null_profile_features", O.with_ctes("silver") + "SELECT 'silver' AS \"table\", count(*) AS rows, "
+          + ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in SILVER_COLS) + " FROM silver")
+def _null_features(f: Frames) -> DataFrame:
+    from gridlake.operators import quality as dq
+    return dq.null_profile(f.silver, "silver")
+
+
 @register("null_profile", O.with_ctes("bronze") + """
 SELECT 'bronze' AS "table", count(*) AS rows,
        count(*) FILTER (WHERE "timestamp" IS NULL) AS "timestamp", count(*) FILTER (WHERE country IS NULL) AS country,
@@ -437,7 +479,7 @@ SELECT {O.r('coalesce(sum(total_dunkelflaute_cost_eur), 0.0)', 'total_risk_eur')
 FROM risk""")
 def _risk_kpis(f: Frames) -> DataFrame:
     from gridlake.operators import serving
-    return serving.risk_kpis(gold.financial_risk(f.fct_energy_hourly))
+    return serving.risk_kpis(_risk_mart(f))
 
 
 @register("risk_timeline", O.with_ctes("risk") + f"""
@@ -446,13 +488,45 @@ SELECT {', '.join(O.r(c, c) if c in RISK_DOUBLES else c for c in RISK_COLS)},
 FROM risk""")
 def _risk_timeline(f: Frames) -> DataFrame:
     from gridlake.operators import serving
-    return serving.risk_timeline(gold.financial_risk(f.fct_energy_hourly))
+    return serving.risk_timeline(_risk_mart(f))
+
 
+# selections of one user of the dashboard: a zone and year, two zones, one month
+ZONE_NAME, TWO_ZONES, YEAR, MONTH = "Austria", ("Austria", "Sweden (Luleå)"), 2024, 1
 
-@register("duck_curve_month", _sel("duck", DUCK_COLS, set(DUCK_COLS[4:])))
+
+@register("duck_curve_month", _sel("duck", DUCK_COLS, set(DUCK_COLS[4:]))
+          + f" WHERE country_name = '{ZONE_NAME}' AND year = {YEAR} AND month = {MONTH}")
 def _duck_month(f: Frames) -> DataFrame:
     from gridlake.operators import serving
-    return serving.duck_curve_month(gold.duck_curve(f.fct_energy_hourly))
+    return serving.duck_curve_month(gold.duck_curve(f.fct_energy_hourly), ZONE_NAME, YEAR, MONTH)
+
+
+@register("green_summary_zone_year", _sel("green", GREEN_COLS, {"avg_price_volatility", "avg_residual_load", "avg_price"})
+          + " WHERE avg_price_volatility IS NOT NULL AND avg_residual_load IS NOT NULL"
+          + f" AND country_name = '{ZONE_NAME}' AND year = {YEAR}")
+def _green_zone_year(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.green_summary(gold.green_performance(f.fct_energy_hourly), ZONE_NAME, YEAR)
+
+
+@register("risk_kpis_two_zones", O.with_ctes("risk") + f"""
+SELECT {O.r('coalesce(sum(total_dunkelflaute_cost_eur), 0.0)', 'total_risk_eur')},
+       CAST(coalesce(sum(hours_in_dunkelflaute), 0) AS BIGINT) AS total_hours,
+       {O.r('CASE WHEN coalesce(sum(hours_in_dunkelflaute), 0) > 0 THEN coalesce(sum(total_dunkelflaute_cost_eur), 0.0) / NULLIF(sum(priced_load_mwh_at_risk), 0) END', 'avg_premium')}
+FROM risk WHERE country_name IN {TWO_ZONES}""")
+def _risk_two(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    return serving.risk_kpis(_risk_mart(f), TWO_ZONES)
+
+
+@register("first_buckets", O.with_ctes("green") + """
+SELECT country_name, year, month, penetration_bucket, bucket_sort_order, hours_in_bucket FROM green
+ORDER BY hours_in_bucket DESC, country_name, year, month, penetration_bucket, bucket_sort_order LIMIT 10""")
+def _first_buckets(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    green = gold.green_performance(f.fct_energy_hourly).select(*GREEN_COLS[:6])
+    return serving.first_n(green, 10, F.col("hours_in_bucket").desc())
 
 
 @register("duck_shape", O.with_ctes("duck") + f"""
@@ -472,7 +546,8 @@ def _live_points(f: Frames) -> DataFrame:
                        region_to_zone("region").alias("country_code"))
 
 
-BAND_SQL = O.with_ctes("fct", "quotes") + f"""
+def _band_sql(quotes: str) -> str:
+    return O.with_ctes("fct", "quotes") + f"""
 , base AS (
   SELECT country_code, month(event_time) AS month, hour(event_time) AS hour,
          avg(price_eur_mwh) * 3.0 AS hist_mean, stddev_samp(price_eur_mwh) * 3.0 AS hist_std
@@ -480,7 +555,7 @@ BAND_SQL = O.with_ctes("fct", "quotes") + f"""
 target AS (
   SELECT CASE WHEN region = 'DE' THEN 'DE_LU' WHEN region = 'AT' THEN 'AT' ELSE region END AS country_code,
          month(min(make_timestamp(timestamp_ms * 1000))) AS month
-  FROM quotes WHERE timestamp_ms IS NOT NULL GROUP BY 1),
+  FROM quotes WHERE timestamp_ms IS NOT NULL AND {quotes} GROUP BY 1),
 month_rows AS (
   SELECT b.country_code, b.hour, b.hist_mean, b.hist_std, 'month' AS basis
   FROM base b JOIN target t ON b.country_code = t.country_code AND b.month = t.month),
@@ -496,17 +571,35 @@ SELECT country_code, CAST(hour AS INTEGER) AS hour, {O.r('hist_mean', 'hist_mean
 FROM band"""
 
 
-@register("historical_band", BAND_SQL)
+@register("historical_band", _band_sql("true"))
 def _band(f: Frames) -> DataFrame:
     from gridlake.operators import serving
-    return serving.historical_band(f.fct_energy_hourly, _live_points(f))
+    return serving.historical_band(f.fct_energy_hourly, _live_points(f), zones=f.zones)
 
 
-@register("live_prices", O.with_ctes("live") + f"""
-SELECT event_time, region, {O.r('coalesce(price_eur_mwh, expected_price, 0.0)', 'price_eur_mwh')},
-       CAST(hour(event_time) AS INTEGER) AS hour, CAST(month(event_time) AS INTEGER) AS month
-FROM live""")
+# live quotes of one region alone: the other zones fall back to all months
+@register("historical_band_all_months", _band_sql("region = 'DE'"))
+def _band_all(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    live = _live_points(f).where("country_code = 'DE_LU'")
+    return serving.historical_band(f.fct_energy_hourly, live, zones=f.zones)
+
+
+@register("live_prices", O.with_ctes("quotes") + """
+SELECT make_timestamp(timestamp_ms * 1000) AS event_time, region, price_eur_mwh,
+       CAST(hour(make_timestamp(timestamp_ms * 1000)) AS INTEGER) AS hour,
+       CAST(month(make_timestamp(timestamp_ms * 1000)) AS INTEGER) AS month
+FROM quotes WHERE timestamp_ms IS NOT NULL""", exact=("price_eur_mwh",))
 def _live_prices(f: Frames) -> DataFrame:
     from gridlake.operators import serving
-    good, _ = scoring.split_bad(scoring.decode(live_messages(f)))
-    return serving.live_prices(scoring.score(good, f.fct_price_baselines), snapshot=_points(f))
+    return serving.live_prices(_scored(f))
+
+
+@register("live_prices_region", O.with_ctes("live") + f"""
+SELECT event_time, region, {O.r('expected_price', 'price_eur_mwh')},
+       CAST(hour(event_time) AS INTEGER) AS hour, CAST(month(event_time) AS INTEGER) AS month
+FROM live WHERE region = 'AT'""")
+def _live_region(f: Frames) -> DataFrame:
+    from gridlake.operators import serving
+    # a feed without a price column: the expected price is served
+    return serving.live_prices(_scored(f).drop("price_eur_mwh"), region="AT")

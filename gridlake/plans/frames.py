@@ -2,10 +2,8 @@
 
 ``Frames(spark, sf_dir)`` builds bronze -> silver -> gold from the driver's tables through
 the adapter, memoising each lazy DataFrame so one query plan references each layer once
-(Spark then reuses identical exchanges inside that plan). Nothing here triggers a job
-except the checkpoints of the pivoted and featurised silver tables (each written once to
-the cluster's checkpoint folder) and ``date_bounds``, one global min/max that sizes the
-hour spine.
+(Spark then reuses identical exchanges inside that plan). Nothing here triggers a job or
+writes a table, except ``date_bounds``, one global min/max that sizes the hour spine.
 """
 from __future__ import annotations
 
@@ -14,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.operators import gold, rolling, silver
+from gridlake.operators import gold, silver
 from gridlake.sources import driver_tables, seeds
 from gridlake.sources.spine import spine_rows
 
@@ -41,10 +39,7 @@ class Frames:
 
     @cached_property
     def silver(self) -> DataFrame:
-        # Silver feeds the hourly fact, the price profile and every check built on them;
-        # like the written silver layer of the batch flow, it is materialised once (reliable
-        # checkpoint in the shared folder) so those branches never repeat the window passes.
-        return rolling.checkpointed(silver.features(self.wide))
+        return silver.features(self.wide)
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -64,8 +59,22 @@ class Frames:
 
     @cached_property
     def date_bounds(self) -> tuple[dt.datetime, dt.datetime]:
-        # from the materialised silver table (the fact's hours), not a scan of bronze
-        return gold.span_bounds(self.spark, self.silver)
+        # the hours of silver: those of bronze rows with a metric that silver keeps
+        return gold.span_bounds(self.spark, self.bronze.where(silver.metric_group("metric_name") != "other"))
+
+    @property
+    def zones(self) -> int:
+        """How many zones there are: the adapter's list bounds them."""
+        return len(driver_tables.ZONES)
+
+    @property
+    def profile_rows(self) -> int:
+        return self.zones * gold.PROFILE_CELLS
+
+    @cached_property
+    def month_rows(self) -> int:
+        start, end = self.date_bounds
+        return self.zones * ((end.year - start.year) * 12 + end.month - start.month + 1)
 
     @cached_property
     def dim_date(self) -> DataFrame:

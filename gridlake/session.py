@@ -2,8 +2,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,23 +23,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder named by the cluster (``spark.checkpoint.dir``); streams keep their checkpoints there.
 
-    Only when the session names none (local tests) do we pick a fresh scratch folder.
+    There is no fallback: a folder of one machine would lose part of what executors write.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="gridlake-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
-
-
-def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh folder under the shared checkpoint root for intermediate tables."""
-    return f"{checkpoint_root(spark)}/gridlake-{kind}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named.rstrip("/")
 
 
 def local_session(cores: int | str = 8, app: str = "gridlake", shuffle_partitions: int | None = None) -> SparkSession:

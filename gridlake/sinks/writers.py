@@ -1,8 +1,10 @@
 """Layer writers (B1–B5, B7, B8). Every write is an overwrite of its own path (idempotent).
 
 None repartitions by its partition columns: one month or one zone may hold a third of the
-data, and ``repartition(year, month)`` would hand that third to one task. Rows are sorted
-within each task by the partition columns instead, so each task keeps one open file at a time.
+data, and ``repartition(year, month)`` would hand that third to one task. The ``rebalance``
+hint is used instead: adaptive execution joins small parts of a partition and splits large
+ones, so files have a sensible size. Rows are sorted within each task by the partition
+columns, so each task keeps one open file at a time.
 """
 from __future__ import annotations
 
@@ -13,7 +15,7 @@ from gridlake.operators import quality
 
 
 def _partitioned(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.sortWithinPartitions(*cols)
+    return df.hint("rebalance", *cols).sortWithinPartitions(*cols)
 
 
 def write_bronze(bronze: DataFrame, root: str) -> None:

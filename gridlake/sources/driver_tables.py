@@ -42,9 +42,14 @@ def _case(col: Column, mapping: dict) -> Column:
 
 
 def zone_of(user_id: Column) -> Column:
-    """Zone by ``user_id % 5`` (NULL for a NULL or negative id): one lookup in a literal array."""
+    """Zone by ``user_id % 5``: remainders 0 to 3 name the first four, any other one (negative ids too) the last.
+
+    NULL for a NULL id. One lookup in a literal array.
+    """
     zones = F.array(*[F.lit(z) for z in ZONES])
-    return F.try_element_at(zones, (user_id % len(ZONES)).cast("int") + 1)
+    remainder = (user_id % len(ZONES)).cast("int")
+    last = len(ZONES) - 1
+    return F.try_element_at(zones, F.when(remainder < 0, last).otherwise(remainder) + 1)
 
 
 def metric_of(event_type: Column) -> Column:
@@ -124,6 +129,20 @@ def price_quotes(events: DataFrame) -> DataFrame:
     )
 
 
+def payload_lists(events: DataFrame) -> DataFrame:
+    """Landed API documents of many points: the quotes of a region that arrived in one minute make a list.
+
+    Columns: (region, payload). A minute of one region is a small group, however many events there are in all.
+    """
+    start = F.unix_millis(hour_of(F.col("ts")).cast("timestamp"))
+    point = F.struct(start.alias("start_timestamp"), (start + F.lit(3_600_000)).alias("end_timestamp"),
+                     F.col("value").alias("marketprice"), F.lit(PRICE_UNIT).alias("unit"))
+    quotes = events.where(F.col("event_type") == PRICE_EVENT).select(
+        region_of(zone_of(F.col("user_id"))).alias("region"), F.date_trunc("minute", "ts").alias("minute"), point.alias("point"))
+    lists = quotes.where(F.col("region").isNotNull()).groupBy("region", "minute").agg(F.collect_list("point").alias("data"))
+    return lists.select("region", F.to_json(F.struct("data")).alias("payload"))
+
+
 def payload_documents(events: DataFrame) -> DataFrame:
     """One landed API document per event: ``{"data": [point]}`` for price events and
     ``{"data": []}`` for the others. Columns: (event_id, region, payload)."""

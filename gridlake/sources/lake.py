@@ -1,10 +1,15 @@
 """Lake readers (A3, A4, A6, A8, A9): Parquet layers with explicit schemas where fixed."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake import schemas
 
+# What the stream writes.
+SCORED = ("event_time timestamp, region string, price_eur_mwh double, expected_price double, z_score double, "
+          "anomaly_level string")
+
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Bronze, Hive-partitioned by year/month; partition values read back as integers."""
@@ -20,11 +25,24 @@ def read_price_profile(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("basePath", root).parquet(root)
 
 
-def read_gold(spark: SparkSession, gold_root: str, table: str) -> DataFrame:
-    """A gold table by name."""
-    return spark.read.parquet(f"{gold_root.rstrip('/')}/{table}")
+def _or_empty(spark: SparkSession, path: str, empty) -> DataFrame:
+    """A Parquet table, or an empty frame of the schema ``empty`` where nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if empty is None or problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], empty)
+
+
+def read_gold(spark: SparkSession, gold_root: str, table: str, empty=None) -> DataFrame:
+    """A gold table by name (A8). With a schema ``empty``, a table that isn't there reads as no rows."""
+    return _or_empty(spark, f"{gold_root.rstrip('/')}/{table}", empty)
 
 
 def read_realtime(spark: SparkSession, path: str) -> DataFrame:
-    """The streaming sink; the file index honours the sink's ``_spark_metadata`` log."""
-    return spark.read.parquet(path)
+    """The streaming sink; the file index honours the sink's ``_spark_metadata`` log.
+
+    Before the stream has written anything, it reads as no rows.
+    """
+    return _or_empty(spark, path, SCORED)

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from gridlake import schemas
 from gridlake.functions.semantics import anomaly_level, dow, region_to_zone
+from gridlake.operators.gold import maybe_broadcast
 
 LOOKUP_KEYS = ["country_code", "base_month", "base_dow", "base_hour"]
-# Largest baseline lookup we broadcast to the stream (cells are zones × 12 × 7 × 24).
-BROADCAST_LOOKUP_ROWS = 2_000_000
+UTC_NAMES = {"utc", "etc/utc", "z", "gmt", "+00:00", "universal", "zulu"}
+# How long a region's price list is published again: day-ahead lists cover two days at most.
+REPUBLISHED_FOR = "48 hours"
 
 
 def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -50,11 +52,13 @@ def score(points: DataFrame, baselines: DataFrame, mean_factor: float = 1.0, std
 
     Event time is an instant (``timestamp_millis``); under the UTC session its month, hour
     and weekday (1 = Sunday … 7 = Saturday) equal the batch profile's keys. ``lookup_rows``,
-    when known, lets the lookup be broadcast.
+    when known, lets the lookup be broadcast. Raises in a session of another time zone (S3),
+    where keys would match the wrong cells.
     """
-    lookup = baseline_lookup(baselines)
-    if lookup_rows is not None and lookup_rows <= BROADCAST_LOOKUP_ROWS:
-        lookup = F.broadcast(lookup)
+    zone = points.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone.lower() not in UTC_NAMES:
+        raise ValueError(f"scoring needs a session in UTC (spark.sql.session.timeZone), not {zone}")
+    lookup = maybe_broadcast(baseline_lookup(baselines), lookup_rows)
     event_time = F.timestamp_millis(F.col("timestamp_ms"))
     keyed = points.where(F.col("timestamp_ms").isNotNull()).select(
         "*",
@@ -78,14 +82,19 @@ def score(points: DataFrame, baselines: DataFrame, mean_factor: float = 1.0, std
     )
 
 
-def drop_republished(points: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Optional K9: the producer re-sends its whole price list; keep the first copy of each
-    (region, hour) inside the watermark. Needs a streaming frame with event time."""
+def drop_republished(points: DataFrame, remember: str = REPUBLISHED_FOR) -> DataFrame:
+    """Optional K9: the producer re-sends its whole price list; keep the first copy of each (region, hour).
+
+    The watermark follows the time of arrival (``ingested_at``, else the time of processing), not the hour that a price
+    is for: a list spans a day, so a region whose first list comes after others would lose its early hours. A copy is
+    known for ``remember`` after its first arrival; a price that arrives later than others by that much is late.
+    """
+    arrival = F.timestamp_micros((F.col("ingested_at") * 1e6).cast("long"))
     return (
-        points.withColumn("_event_time", F.timestamp_millis(F.col("timestamp_ms")))
-        .withWatermark("_event_time", watermark)
+        points.withColumn("_arrival", F.coalesce(arrival, F.current_timestamp()))
+        .withWatermark("_arrival", remember)
         .dropDuplicatesWithinWatermark(["region", "timestamp_ms"])
-        .drop("_event_time")
+        .drop("_arrival")
     )
 
 

@@ -23,15 +23,15 @@ def test_no_price_columns_raises(tmp_path, spark):
 def test_wide_to_long_fixture(spark, wide_csv):
     long = bronze.to_long(wide_csv and wide_csv_frame(spark, wide_csv))
     rows = long.collect()
-    assert len(rows) == 50
+    assert len(rows) == 40
     assert all(r["value"] is not None for r in rows)
     assert long.columns == ["timestamp", "country", "metric_name", "value", "year", "month"]
-    first = long.where((F.col("country") == "DE_LU") & (F.col("metric_name") == "price_day_ahead")) \
+    first = long.where((F.col("country") == "PL") & (F.col("metric_name") == "price_day_ahead")) \
         .orderBy("timestamp").first()
-    assert first["timestamp"] == dt.datetime(2020, 1, 1, 0, 0)
-    assert first["value"] == 28.5
-    assert first["year"] == "2020" and first["month"] == "01"
-    assert {r["country"] for r in rows} == {"AT", "DE_LU", "FR"}
+    assert first["timestamp"] == dt.datetime(2021, 7, 9, 10, 0)
+    assert first["value"] == 4.05
+    assert first["year"] == "2021" and first["month"] == "07"
+    assert {r["country"] for r in rows} == {"PL", "DK_1", "BE"}
 
 
 def wide_csv_frame(spark, path):
@@ -72,10 +72,10 @@ def test_bronze_write_and_read_back(tmp_path, spark, wide_csv):
     root = str(tmp_path / "bronze")
     writers.write_bronze(bronze.to_long(wide_csv_frame(spark, wide_csv)), root)
     back = lake.read_bronze(spark, root)
-    assert back.count() == 50
+    assert back.count() == 40
     assert dict(back.dtypes)["year"] == "int" and dict(back.dtypes)["month"] == "int"
     # idempotent overwrite
     writers.write_bronze(bronze.to_long(wide_csv_frame(spark, wide_csv)), root)
     again = lake.read_bronze(spark, root)
-    assert again.count() == 50
-    assert again.where("year = 2020 AND month = 1").count() == 50
+    assert again.count() == 40
+    assert again.where("year = 2021 AND month = 7").count() == 40

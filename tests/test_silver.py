@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,13 +12,14 @@ METRICS = {"price": "price_day_ahead", "load": "load_actual_entsoe_transparency"
            "solar": "solar_generation_actual", "wind": "wind_generation_actual"}
 
 
-def fixture3(i):
-    """FIXTURES §3 formulas for hour i."""
+def series(i):
+    """Two days of our own: prices and load step by quarter of the day, the sun shines for eight hours, wind alternates."""
+    quarter = i // 6
     return {
-        "price": 30 + (i % 12) * 2 + (-1) ** i * 3,
-        "load": 50000 + 100 * i - 500 * (i % 6),
-        "solar": max(0.0, 3000 * (1 - abs(i % 24 - 12) / 12)),
-        "wind": 5000 + 300 * (i % 8),
+        "price": [41.5, 63.25, 77.0, 52.75][quarter % 4] + i / 16,
+        "load": [8100.0, 9400.0, 9900.0, 8600.0][quarter % 4] + 25 * i,
+        "solar": [0.0, 900.0, 1450.0, 0.0][quarter % 4],
+        "wind": 1300.0 if i % 2 else 1720.0,
     }
 
 
@@ -37,7 +39,7 @@ def frame(spark, rows):
 
 
 def test_pivot_shape_and_zero_fill(spark):
-    rows = bronze_rows("DE_LU", range(48), fixture3)
+    rows = bronze_rows("DE_LU", range(48), series)
     rows += [(dt.datetime(2020, 1, 1), "DE_LU", "error_count", 1.0, "2020", "01")]   # "other" is dropped
     rows += [(dt.datetime(2020, 1, 5), "AT", "price_day_ahead", 10.0, "2020", "01")]  # no generation -> 0
     wide = silver.pivot_metrics(frame(spark, rows))
@@ -48,8 +50,7 @@ def test_pivot_shape_and_zero_fill(spark):
 
 
 def test_features_fixture(spark):
-    feats = silver.features(silver.pivot_metrics(frame(spark, bronze_rows("DE_LU", range(48), fixture3))),
-                            materialize=False)
+    feats = silver.features(silver.pivot_metrics(frame(spark, bronze_rows("DE_LU", range(48), series))))
     rows = feats.orderBy("timestamp").collect()
     assert feats.columns == schemas.SILVER_FEATURE_COLUMNS
     assert len(rows) == 48
@@ -58,10 +59,10 @@ def test_features_fixture(spark):
     assert all(r["volatility_24h"] is not None and r["is_dunkelflaute"] is not None for r in rows[23:])
     assert not any(r["is_window_valid"] for r in rows[:23]) and all(r["is_window_valid"] for r in rows[23:])
     r5 = rows[5]
-    exp = fixture3(5)
+    exp = series(5)
     assert r5["residual_load"] == exp["load"] - (exp["solar"] + exp["wind"])
-    assert r5["prev_load"] == fixture3(4)["load"]
-    assert abs(r5["ramp_rate_pct"] - abs((exp["load"] - fixture3(4)["load"]) / exp["load"])) < 1e-12
+    assert r5["prev_load"] == series(4)["load"]
+    assert abs(r5["ramp_rate_pct"] - abs((exp["load"] - series(4)["load"]) / exp["load"])) < 1e-12
     assert r5["weekday"] == 4 and r5["hour"] == 5       # 2020-01-01 was a Wednesday (1 = Sunday)
     assert all(r["is_dunkelflaute"] is False for r in rows[23:])   # plenty of renewables
 
@@ -73,7 +74,7 @@ def test_dunkelflaute_and_edge_values(spark):
             v["load"] = 0.0          # share undefined, ramp undefined: no error
         return v
     rows = bronze_rows("NO_2", range(48), low)
-    feats = silver.features(silver.pivot_metrics(frame(spark, rows)), materialize=False)
+    feats = silver.features(silver.pivot_metrics(frame(spark, rows)))
     got = {r["timestamp"].hour + 24 * (r["timestamp"].day - 1): r for r in feats.collect()}
     assert got[23]["is_dunkelflaute"] is True
     assert got[40]["renewable_share"] is None and got[40]["ramp_rate_pct"] is None
@@ -94,8 +95,7 @@ def naive(wide, hours=24):
     )
 
 
-def test_blocked_windows_equal_single_partition_windows(spark):
-    """Tiny blocks and 1-day chunks with gaps, several zones: exact match with the plain window."""
+def noisy_wide(spark):
     rnd = random.Random(7)
 
     def noisy(i):
@@ -105,13 +105,15 @@ def test_blocked_windows_equal_single_partition_windows(spark):
     for zone in ["DE_LU", "AT", "SE_1"]:
         hours = sorted(rnd.sample(range(24 * 20), 300))        # gaps of random length
         rows += bronze_rows(zone, hours, noisy)
-    wide = silver.pivot_metrics(frame(spark, rows))
-    got = silver.features(wide, chunk_days=1, block_rows=30, materialize=False).select(
+    return silver.pivot_metrics(frame(spark, rows))
+
+
+def test_windows_over_gaps(spark):
+    wide = noisy_wide(spark)
+    got = silver.features(wide).select(
         "timestamp", "country", "is_window_valid", "prev_load", "volatility_24h", "max_share_last_24h")
-    exp = naive(wide)
     key = lambda r: (r["country"], r["timestamp"])
-    a = sorted(got.collect(), key=key)
-    b = sorted(exp.collect(), key=key)
+    a, b = sorted(got.collect(), key=key), sorted(naive(wide).collect(), key=key)
     assert len(a) == len(b) == 900
     for x, y in zip(a, b):
         assert x["is_window_valid"] == y["is_window_valid"]
@@ -123,10 +125,36 @@ def test_blocked_windows_equal_single_partition_windows(spark):
             assert abs(x["volatility_24h"] - y["volatility_24h"]) < 1e-9
 
 
+def test_range_frame_over_gaps(spark):
+    """``frame="range"`` sees the last 24 hours, not the last 24 rows."""
+    rows = [r.asDict() for r in silver.features(noisy_wide(spark), frame="range").collect()]
+    assert len(rows) == 900
+    day = dt.timedelta(hours=23)
+    for zone in ("DE_LU", "AT", "SE_1"):
+        own = sorted((r for r in rows if r["country"] == zone), key=lambda r: r["timestamp"])
+        for r in own:
+            recent = [x["renewable_share"] for x in own if r["timestamp"] - day <= x["timestamp"] <= r["timestamp"]]
+            assert r["max_share_last_24h"] == max(recent)
+            assert r["is_window_valid"] == (r["timestamp"] - own[0]["timestamp"] >= day)
+            assert (r["is_dunkelflaute"] is None) == (not r["is_window_valid"])
+    with pytest.raises(ValueError):
+        silver.features(noisy_wide(spark), frame="days")
+
+
+def test_rows_without_zone_or_time_stay(spark):
+    schema = "timestamp timestamp_ntz, country string, load double, price double, solar double, wind double"
+    t = dt.datetime(2021, 1, 1)
+    wide = spark.createDataFrame([(t, None, 10.0, 1.0, 1.0, 0.0), (None, "AT", 20.0, 1.0, 2.0, 0.0),
+                                  (t, "AT", 40.0, 1.0, 4.0, 0.0), (None, None, 5.0, None, 0.0, 0.0)], schema)
+    for kind in ("rows", "range"):
+        got = {(r["timestamp"], r["country"]): r["prev_load"] for r in silver.features(wide, frame=kind).collect()}
+        assert got == {(t, None): 5.0, (None, "AT"): None, (t, "AT"): 20.0, (None, None): None}
+
+
 def test_price_profile_single_sample_and_equal_prices(spark):
     rows = bronze_rows("DE_LU", [0], lambda i: {"price": 40.0, "load": 1.0})
     rows += bronze_rows("AT", [0, 24 * 7], lambda i: {"price": 25.0, "load": 1.0})
     prof = {(r["country"]): r for r in silver.price_profile(
-        silver.features(silver.pivot_metrics(frame(spark, rows)), materialize=False)).collect()}
+        silver.features(silver.pivot_metrics(frame(spark, rows)))).collect()}
     assert prof["DE_LU"]["stddev_price_baseline"] is None and prof["DE_LU"]["sample_size"] == 1
     assert prof["AT"]["stddev_price_baseline"] == 0.0 and prof["AT"]["sample_size"] == 2

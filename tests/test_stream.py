@@ -1,12 +1,15 @@
 import datetime as dt
 import json
+import os
+
+import pytest
 
 from gridlake.streaming import scoring
 
 BASELINES_SCHEMA = ("country_code string, month_of_year int, day_of_week int, hour_of_day int, "
                     "avg_price_baseline double, stddev_price_baseline double")
-# 2023-11-14 22:13:20 UTC is a Tuesday (day 3), hour 22, month 11
-T0 = 1_700_000_000_000
+# 2024-11-12 22:13:20 UTC is a Tuesday (day 3), hour 22, month 11
+T0 = 1_731_449_600_000
 
 
 def baselines(spark):
@@ -31,7 +34,7 @@ def test_decode_split_and_score(spark):
     assert levels == {29.0: "OPPORTUNITY", 30.0: "NORMAL", 50.0: "NORMAL", 70.0: "NORMAL", 80.0: "WARNING",
                       80.5: "CRITICAL"}
     assert all(r["expected_price"] == 50.0 for r in out)
-    assert out[0]["event_time"] == dt.datetime(2023, 11, 14, 22, 13, 20)
+    assert out[0]["event_time"] == dt.datetime(2024, 11, 12, 22, 13, 20)
 
 
 def test_sigma_zero_and_unknown_region(spark):
@@ -73,3 +76,31 @@ def test_republished_duplicates_dropped(spark, tmp_path):
     for q in qs:
         q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 1
+
+
+def test_scoring_needs_utc(spark):
+    good, _ = scoring.split_bad(scoring.decode(messages(spark, [80.0])))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            scoring.score(good, baselines(spark))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_late_first_list_keeps_all_its_hours(spark, tmp_path):
+    """Three lists of one region arrive before another region's first one: none of its hours is taken for late."""
+    src = tmp_path / "in"
+    src.mkdir()
+    hour = 3_600_000
+    for k, region in enumerate(["DE", "DE", "DE", "AT", "AT"]):
+        lines = [json.dumps({"timestamp_ms": T0 + h * hour, "price_eur_mwh": 1.0 + h, "unit": "Eur/MWh", "region": region,
+                             "ingested_at": T0 / 1000 + 60.0 * k}) for h in range(24)]
+        (src / f"{k}.txt").write_text("\n".join(lines) + "\n")
+        os.utime(src / f"{k}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(src))
+    out = str(tmp_path / "out")
+    for q in scoring.start_scoring(stream, baselines(spark), out, str(tmp_path / "ck"), trigger={"availableNow": True}, dedupe=True):
+        q.awaitTermination(300)
+    got = {r["region"]: r["count"] for r in spark.read.parquet(out).groupBy("region").count().collect()}
+    assert got == {"DE": 24, "AT": 24}
