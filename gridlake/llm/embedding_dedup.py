@@ -30,11 +30,11 @@ from gridlake.llm._components import components
 from gridlake.llm._session import prepare, written
 
 COSINE = 0.9
-TREES = 16
+TREES = 10
 SAMPLE = 20_000
 LEAF = 1024
 #: Share of a node's sample within the spill on each side of the cut.
-SPILL = 0.12
+SPILL = 0.05
 #: Rounds of splitting large leaves, the largest ones of a round, and the sample of each. What is still large after the
 #: last round is met block by block.
 ROUNDS = 8
