@@ -41,6 +41,8 @@ LENGTH = 400
 GRAM = 32
 STEP = 16
 HOT = 4096
+#: A task's arrays take some 30 bytes for each byte of a block.
+BLOCK_BYTES = 4 << 20
 _PLACE_BITS = 28
 
 
@@ -74,10 +76,10 @@ def _contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     up, down = A._BYTE_POWERS(len(data) + 1)
     sums = np.zeros(len(data) + 1, A.U64)
     np.cumsum(A.BYTE_VALUE[data] * up[:-1], out=sums[1:])
-    anchor = own[at] - first
+    anchor = own[at] - first  # least hashes are small; mixed once more, they spread over all buckets
     bytes_ = (sums[first + count - 1 + length] - sums[first]) * down[first]
     context = A.mix(A.mix(bytes_) + count.astype(A.U64) * A.U64(A.WORD_BASE) + anchor.astype(A.U64))
-    return text.astype(np.int32), first - offsets[text], count.astype(np.int32), anchor.astype(np.int32), grams[own[at]], context
+    return text.astype(np.int32), first - offsets[text], count.astype(np.int32), anchor.astype(np.int32), A.mix(grams[own[at]]), context
 
 
 _NAMES = ["text", "first", "count", "at", "anchor", "context"]
@@ -377,13 +379,13 @@ def _removed(n_carry: int, bits: int, length: int):
                 hit = np.concatenate(hits)
                 np.add.at(steps, hit, 1)
                 np.add.at(steps, hit + length, -1)
-                gone = np.cumsum(steps[:-1]) > 0
+                gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
+                del steps, hit, hits
                 opens = gone.copy()
                 inner = offsets[(offsets > 0) & (offsets < len(text))]
                 opens[1:] &= ~gone[:-1]
                 opens[inner] = gone[inner]
-                sums = np.concatenate([[0], np.cumsum(gone)])
-                spans = np.concatenate([[0], np.cumsum(opens)])
+                sums, spans = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)]).astype(np.int32) for x in (gone, opens))
                 for at in range(0, len(table), 512):
                     rows = table.slice(at, 512)
                     lo, hi = offsets[at : at + len(rows)], offsets[at + 1 : at + len(rows) + 1]
@@ -393,7 +395,7 @@ def _removed(n_carry: int, bits: int, length: int):
     return run
 
 
-def dedup(docs: DataFrame, order: str, text: str, carry: list[str], length: int = LENGTH, gram: int = GRAM, hot: int = HOT, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def dedup(docs: DataFrame, order: str, text: str, carry: list[str], length: int = LENGTH, gram: int = GRAM, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``carry`` columns of ``docs``, n_bytes, n_removed, n_spans and the bytes that are kept."""
     table = B.blocks(docs, order, text, carry, block_bytes, _marks(length, gram))
     bits = B.bucket_bits(table.count())
