@@ -22,7 +22,8 @@ def read_silver_features(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_price_profile(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(root)
+    """The price profile, partitioned by country."""
+    return spark.read.schema(schemas.PRICE_PROFILE).option("basePath", root).parquet(root)
 
 
 def _or_empty(spark: SparkSession, path: str, empty) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,7 +37,6 @@ def test_payload_points_and_messages(spark, tmp_path):
     prices = [0.0, -41.07, 118.93, 64.2]
     doc = {"data": [{"start_timestamp": start + k * hour, "end_timestamp": start + (k + 1) * hour, "marketprice": p,
                      "unit": "Eur/MWh"} for k, p in enumerate(prices)]}
-    import json
     (tmp_path / "de.json").write_text(json.dumps(doc, indent=2))
     (tmp_path / "empty.json").write_text('{"data": []}')
     pts = payload.price_points(payload.read_payload(spark, str(tmp_path / "de.json"), region="DE"))
@@ -52,6 +52,18 @@ def test_payload_points_and_messages(spark, tmp_path):
     assert (tmp_path / "snap" / "region=DE" / "snapshot_date=20240201").exists()
 
 
+def test_processing_time_is_the_default(spark):
+    points = spark.createDataFrame([(0, 1, 5.0, "Eur/MWh", "DE")], "start_timestamp long, end_timestamp long, marketprice double, unit string, region string")
+    before = dt.datetime.now(dt.timezone.utc)
+    sent = json.loads(writers.publish_messages(points).first()["value"])["ingested_at"]
+    snap = writers.snapshot_rows(points).first()
+    after = dt.datetime.now(dt.timezone.utc)
+    assert before.timestamp() - 1 <= sent <= after.timestamp() + 1
+    taken = dt.datetime.fromisoformat(snap["ingestion_time"]).replace(tzinfo=dt.timezone.utc)
+    assert before - dt.timedelta(seconds=1) <= taken <= after + dt.timedelta(seconds=1)
+    assert snap["snapshot_date"] in {before.strftime("%Y%m%d"), after.strftime("%Y%m%d")}
+
+
 def test_serving(spark):
     duck = spark.createDataFrame(
         [("X", 2020, 6, h, 100.0 - (30 if 10 <= h <= 14 else 0) + (20 if h == 18 else 0)) for h in range(24)],
