@@ -1,15 +1,19 @@
 """Session helpers of the corpus operators: batch size, the shared folder, written intermediate tables."""
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows per Arrow batch handed to a Python task; bounds a worker's memory for documents of some kB.
 BATCH_ROWS = 1000
+#: Bytes of such a batch, for tables with long rows (Spark 4.1 and later; a row larger than that is a batch).
+BATCH_BYTES = "16m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -17,6 +21,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     _ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
@@ -55,10 +60,39 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[context.applicationId]
 
 
+#: Tables written within a scope, by its name, and the scopes that are open.
+_tables: dict[str, list[str]] = {}
+_open: list[str] = []
+
+
+@contextlib.contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables that are written meanwhile can be dropped by ``drop_tables(name)``."""
+    _open.append(name)
+    try:
+        yield
+    finally:
+        _open.pop()
+
+
+def drop_tables(spark: SparkSession, name: str) -> None:
+    """Delete the tables that were written in scopes of this name; nothing may need them any more."""
+    for path in _tables.pop(name, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def keep_tables(name: str) -> None:
+    """From now on the tables of these scopes are the caller's."""
+    _tables.pop(name, None)
+
+
 def written(df: DataFrame, kind: str) -> DataFrame:
     """Cut the lineage: write ``df`` once as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{kind}-{uuid.uuid4().hex}"
+    if _open:
+        _tables.setdefault(_open[-1], []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

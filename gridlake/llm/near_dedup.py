@@ -6,15 +6,21 @@ occur. ProbMinHash: each element is a Poisson process whose rate is its weight;
 arrival is later than all registers' arrivals, so most elements arrive once. The share of registers that two texts
 agree on estimates their probability Jaccard similarity.
 
-Texts with equal weighted shingles are one class from the start; all else works on classes. ``BANDS`` bands of
-``ROWS`` registers make buckets. In each bucket some members lead; each other member that isn't known to be in a leader's group is
-compared with it: first by registers (clear misses go), then exactly, on all shingles. Groups are the connected
-components of the links found. Rounds go on until no bucket holds a pair of different groups that has not been
-compared: so pairs are left out only where both texts are in one group already, and no link between groups is lost.
-A pair of similarity 0.8 shares a bucket with probability 1 - 5e-8.
+Texts with equal weighted shingles are one class from the start; all else works on classes. ``BANDS`` bands of ``ROWS``
+registers make buckets; a pair of similarity 0.8 shares one with probability 1 - 1e-5. Links are found in two steps:
 
-At scale: copies collapse before anything is joined; a bucket emits ``LEADERS`` times its members at most in a round,
-never all pairs; joins are on keys that adaptive execution may split. Nothing is gathered to the driver but counts.
+1. In each bucket one member leads, the one that shares most with others over all buckets (the origin of a group of
+   copies, as a rule). The others are compared with it: first by registers (clear misses go), then exactly, on all
+   shingles. Groups are the connected components of the links.
+2. Buckets that still hold several groups are met in blocks of some ``BLOCK`` members: each two blocks meet in a task of
+   their own (but not two of the largest group), which computes the similarities of all pairs of different groups and sends a spanning forest of
+   the links. Buckets that share members are met as one, so that a pair is compared once, unless they are many.
+
+So pairs are left out only where both texts are in one group already, and no link between groups is lost.
+
+At scale: copies collapse before anything is joined, step 1 compares each member of a bucket once, step 2 emits as many
+rows as a block has members, never all pairs; joins are on keys that adaptive execution may split. Nothing is
+gathered to the driver but counts.
 
 Words are runs of digits, letters and characters beyond ASCII, in ASCII lower case. Defined results: texts without
 words (null and empty ones too) are alike only if they are equal, null as empty; repeated rows are copies, and one
@@ -27,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import _arrays as A
@@ -37,11 +43,17 @@ from gridlake.llm.decontaminate import _IS_WORD, _VALUES
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 4
+#: Long bands keep texts that share a passage, but aren't near copies, out of each other's buckets.
+BANDS, ROWS = 48, 7
 REGISTERS = BANDS * ROWS
-#: Shares of equal registers under this are clear misses: five standard deviations under the similarity.
-CLEAR = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
-LEADERS = 32
+#: Registers that a pair is compared by before its shingles are; a smaller share of equal ones than ``CLEAR``, five
+#: standard deviations under the similarity, is a clear miss.
+COMPARED = 128
+CLEAR = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / COMPARED) ** 0.5
+#: Members and elements of a block on average, and the members of joined buckets beyond which each bucket is met alone.
+BLOCK, BLOCK_ELEMENTS = 256, 200_000
+JOINED = 1 << 13
+_COLUMNS = 1 << 13
 _PART_BYTES = 4 << 20
 
 
@@ -80,7 +92,8 @@ def sketch(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int, re
         turn += 1
         draw = A.mix(hashes + A.U64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
         arrival = arrival - np.log(((draw >> A.U64(11)).astype(float) + 0.5) * 2.0**-53) / w
-        slot = base + (A.mix(draw) % A.U64(registers)).astype(np.int64)
+        # the bits that the arrival doesn't use name the register; unequal shares of registers don't bias a match
+        slot = base + ((draw & A.U64(2047)).astype(np.int64) * registers >> 11)
         sooner = arrival < time[slot]
         s, a, h = slot[sooner], arrival[sooner], hashes[sooner]
         np.minimum.at(time, s, a)
@@ -116,7 +129,7 @@ def _sketches(batches):
             digest = hashlib.sha256(data[offsets[t] : offsets[t + 1]].tobytes()).digest()
             sig0[t], sig1[t] = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
         lists = [[] if c == 0 else b for c, b in zip(count.tolist(), bands.view(np.int64).tolist())]
-        small = (found >> A.U64(48)).astype(np.uint16)
+        small = (found[:, :COMPARED] >> A.U64(48)).astype(np.uint16)
         cols = [pa.array(count, pa.int64()), pa.array(sig0, pa.int64()), pa.array(sig1, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array([r.tobytes() for r in small], pa.binary())]
         yield pa.RecordBatch.from_arrays([rows.column("row"), rows.column("text"), *cols], ["row", "text", "n_shingles", "sig0", "sig1", "bands", "registers"])
 
@@ -148,67 +161,115 @@ def probability_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.n
 
 def _agreement(batches):
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(len(batch), REGISTERS) for c in ("ra", "rb"))
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(len(batch), COMPARED) for c in ("ra", "rb"))
         kept = pa.array((a == b).mean(1) >= CLEAR, pa.bool_())
         yield batch.select(["a", "b"]).filter(kept)
 
 
 def _verified(batches):
     for batch in batches:
-        cols = [[np.frombuffer(x, kind) for x in batch.column(c).to_pylist()] for c, kind in (("ha", A.U64), ("wa", np.int32), ("hb", A.U64), ("wb", np.int32))]
-        kept = [probability_jaccard(*four) >= SIMILARITY - 1e-12 for four in zip(*cols)]
+        kinds = (("ha", A.U64), ("wa", np.int32), ("hb", A.U64), ("wb", np.int32))
+        kept = [probability_jaccard(*(np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in kinds)) >= SIMILARITY - 1e-12 for k in range(len(batch))]
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
+def _met(least: float):
+    def run(key, group):
+        """A spanning forest of the links between groups, in one block (side 0) or between two (sides 1 and 2)."""
+        group = group.combine_chunks().sort_by("class")
+        ids, side = group.column("class").to_numpy(), group.column("side").to_numpy()
+        _, grp = np.unique(group.column("grp").to_numpy(), return_inverse=True)
+        own = [(np.frombuffer(h.as_buffer(), A.U64), np.frombuffer(w.as_buffer(), np.int32)) for h, w in zip(group.column("hashes"), group.column("weights"))]
+        n = len(own)
+        row = np.repeat(np.arange(n), [len(h) for h, _ in own])
+        share = np.concatenate([w / w.sum() for _, w in own]).astype(np.float32)
+        _, column, held = np.unique(np.concatenate([h for h, _ in own]), return_inverse=True, return_counts=True)
+        # elements of one member alone are in no pair
+        some = held[column] > 1
+        number = np.cumsum(held > 1) - 1
+        row, column, share = row[some], number[column[some]], share[some]
+        order = np.argsort(column, kind="stable")
+        row, column, share = row[order], column[order], share[order]
+        # mass[x, y]: the share of x's weight on elements that y has; no similarity is above it
+        mass = np.zeros((n, n), np.float32)
+        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            at = slice(*np.searchsorted(column, [lo, lo + _COLUMNS]))
+            weight, has = np.zeros((2, n, _COLUMNS), np.float32)
+            weight[row[at], column[at] - lo] = share[at]
+            has[row[at], column[at] - lo] = 1
+            mass += weight @ has.T
+        likely = np.minimum(mass, mass.T) >= least - 1e-4
+        likely &= (grp[:, None] != grp[None]) & ((side[:, None] != side[None]) | (side[:, None] == 0))
+        parent = list(range(int(grp.max()) + 1))
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        edges = []
+        for x, y in zip(*(z.tolist() for z in np.nonzero(np.triu(likely, 1)))):
+            a, b = top(grp[x]), top(grp[y])
+            if a != b and probability_jaccard(*own[x], *own[y]) >= least - 1e-12:
+                parent[max(a, b)] = min(a, b)
+                edges.append((ids[x], ids[y]))
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+    return run
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, class, grp) of buckets that hold several groups."""
+    state = members.join(found, F.col("class") == F.col("node"), "left").select("bucket", "class", F.coalesce("component", "class").alias("grp"))
+    several = state.groupBy("bucket").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high").select("bucket")
+    return written(state.join(several, "bucket"), "open")
+
+
 def links_and_groups(classes: DataFrame) -> DataFrame:
     """(node, component) of classes (class, bands, registers, text) that are linked to another one."""
     members = classes.select("class", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(members.join(shared, "bucket"), "members")
-    needed = members.select("class").distinct()
-    facts = written(classes.select("class", "registers", "text").join(needed, "class"), "texts")
+    score = members.groupBy("class").agg(F.sum("n").alias("score"))
+    facts = written(classes.select("class", "registers", "text").join(score.select("class"), "class"), "texts")
     elements = written(facts.select("class", "text").mapInArrow(_elements, "class long, hashes binary, weights binary"), "elements")
     registers = facts.select("class", "registers")
 
-    spark = classes.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    groups, led, turn = None, None, 0
-    while True:
-        turn += 1
-        state = members
-        if groups is not None:
-            state = state.join(groups, state["class"] == groups["node"], "left").select("bucket", "class", F.coalesce("component", "class").alias("grp"))
-            state = state.join(led, ["bucket", "class"], "left").select("bucket", "class", "grp", F.col("was").isNotNull().alias("retired"))
-        else:
-            state = state.select("bucket", "class", F.col("class").alias("grp"), F.lit(False).alias("retired"))
-        state = written(state, "state")
-        lead = written(_leaders(state, 1 if turn == 1 else LEADERS), "leaders")
-        if lead.isEmpty():
-            break
-        pairs = state.join(lead, "bucket").filter("grp <> lead_grp").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
-        ra, rb = registers.toDF("a", "ra"), registers.toDF("b", "rb")
-        likely = pairs.join(ra, "a").join(rb, "b").select("a", "b", "ra", "rb").mapInArrow(_agreement, "a long, b long")
-        likely = written(likely, "likely")
-        ea, eb = elements.toDF("a", "ha", "wa"), elements.toDF("b", "hb", "wb")
-        found = likely.join(ea, "a").join(eb, "b").select("a", "b", "ha", "wa", "hb", "wb").mapInArrow(_verified, "a long, b long")
-        links = written(links.union(found), "links")
-        groups = written(components(links), "groups")
-        now = lead.select("bucket", F.col("leader").alias("class"), F.lit(True).alias("was"))
-        led = written(now if led is None else led.union(now), "led")
-    return groups if groups is not None else spark.createDataFrame([], "node long, component long")
-
-
-def _leaders(state: DataFrame, count: int) -> DataFrame:
-    """(bucket, leader, lead_grp): members that lead in this round. Pairs of two members of the largest group of a bucket
-    need no comparison, so its members don't lead (but in the first round, where groups are single)."""
-    sizes = state.groupBy("bucket", "grp").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("least"))
-    main = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_groups"), F.max_by("grp", F.struct("n", -F.col("least"))).alias("main")).filter("n_groups > 1")
-    able = state.filter("not retired").join(main, "bucket")
-    if count > 1:
-        able = able.filter("grp <> main")
-    # a limit on ranks is applied in each task before the shuffle, so a hot bucket sends few rows
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
-    return able.select("bucket", "class", "grp", rank.alias("rank")).filter(F.col("rank") <= count).select("bucket", F.col("class").alias("leader"), F.col("grp").alias("lead_grp"))
+    lead = members.join(score, "class").groupBy("bucket").agg(F.max_by("class", F.struct("score", "class")).alias("leader"))
+    pairs = members.join(lead, "bucket").filter("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
+    ra, rb = registers.toDF("a", "ra"), registers.toDF("b", "rb")
+    likely = written(pairs.join(ra, "a").join(rb, "b").select("a", "b", "ra", "rb").mapInArrow(_agreement, "a long, b long"), "likely")
+    ea, eb = elements.toDF("a", "ha", "wa"), elements.toDF("b", "hb", "wb")
+    links = written(likely.join(ea, "a").join(eb, "b").select("a", "b", "ha", "wa", "hb", "wb").mapInArrow(_verified, "a long, b long"), "links")
+    found = written(components(links), "groups")
+
+    state = _open(members.select("bucket", "class"), found)
+    star = state.groupBy("bucket").agg(F.min("class").alias("b")).join(state, "bucket").select(F.col("class").alias("a"), "b")
+    weight = elements.select("class", (F.length("hashes") / 8).cast("long").alias("weight"))
+    joined = written(components(star).select(F.col("node").alias("class"), "component").join(weight, "class"), "joined")
+    sizes = joined.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    units = state.join(joined, "class").join(sizes, "component")
+    as_one = units.filter(F.col("size") <= JOINED).select(F.lit(0).alias("kind"), F.col("component").alias("unit"), "class", "grp", "weight").distinct()
+    alone = units.filter(F.col("size") > JOINED).select(F.lit(1).alias("kind"), F.col("bucket").alias("unit"), "class", "grp", "weight")
+    # members of a unit's largest group need not meet each other: their blocks come after those of the others
+    dealt = as_one.union(alone)
+    groups = dealt.groupBy("kind", "unit", "grp").agg(F.count(F.lit(1)).alias("size"), F.sum("weight").alias("elements"))
+    main = groups.groupBy("kind", "unit").agg(
+        F.max_by(F.struct("grp", "size", "elements"), F.struct("size", "grp")).alias("main"), F.sum("size").alias("size"), F.sum("elements").alias("elements"))
+    blocks = lambda size, elements: F.ceil(F.greatest(size / BLOCK, elements / BLOCK_ELEMENTS)).cast("int")
+    main = main.select("kind", "unit", F.col("main.grp").alias("main"), blocks(F.col("main.size"), F.col("main.elements")).alias("n_main"),
+                       blocks(F.col("size") - F.col("main.size"), F.col("elements") - F.col("main.elements")).alias("n_other"))
+    met = dealt.join(main, ["kind", "unit"]).withColumn("in_main", F.col("grp") == F.col("main"))
+    place = F.when(F.col("in_main"), F.col("n_other") + F.pmod(F.xxhash64("class"), F.col("n_main"))).otherwise(F.pmod(F.xxhash64("class"), F.col("n_other")))
+    last = F.when(F.col("in_main"), F.col("n_other")).otherwise(F.col("n_other") + F.col("n_main")) - 1
+    meets = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(F.least(F.col("own"), k).alias("lo"), F.greatest(F.col("own"), k).alias("hi")))
+    met = met.withColumn("own", place.cast("int")).withColumn("meet", F.explode(meets))
+    side = F.when(F.col("meet.lo") == F.col("meet.hi"), 0).when(F.col("own") == F.col("meet.lo"), 1).otherwise(2)
+    met = met.select("kind", "unit", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "class", "grp", side.cast("long").alias("side")).join(elements, "class")
+    more = met.groupBy("kind", "unit", "lo", "hi").applyInArrow(_met(SIMILARITY), "a long, b long")
+    # links of step 1 enter as their groups, so that the second union works on what is new
+    stars = found.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(written(stars.union(more), "links"))
 
 
 def sketched(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
