@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import bpe, decontaminate, near_dedup, secret_scan, toxicity
-from gridlake.llm._session import free_name, prepare, written
+from gridlake.llm._session import drop_tables, free_name, keep_tables, prepare, scope, written
 
 #: SQL can't express sketches, a trained classifier and BPE; tests compare with brute force instead.
 ORACLE_SQL = None
@@ -51,18 +51,35 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", bpe.default_codec()).select("doc_id", "lang", "source", "ids", "n_tokens")
 
 
+def _stage(function):
+    """The tables that a stage has written on its way are dropped when the next stage begins: its rows are written by then."""
+    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(spark, _SCOPE)
+        with scope(_SCOPE):
+            return function(spark, docs, sf_dir)
+    return staged
+
+
+_SCOPE = "pipeline"
+
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("minhash near-dedup", near_dedup_stage),
-    ("benchmark decontamination", decontamination_stage),
-    ("secret scan", secrets_stage),
-    ("byte-level bpe", tokens_stage),
+    ("toxicity", _stage(toxicity_stage)),
+    ("minhash near-dedup", _stage(near_dedup_stage)),
+    ("benchmark decontamination", _stage(decontamination_stage)),
+    ("secret scan", _stage(secrets_stage)),
+    ("byte-level bpe", _stage(tokens_stage)),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), ""
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        made, own = stage(spark, docs, sf_dir), f"{_SCOPE}: {name}"
+        with scope(own):
+            docs = written(made, name.replace(" ", "-"))
+        drop_tables(spark, before)
+        before = own
+    drop_tables(spark, _SCOPE)
+    keep_tables(before)
     return docs
