@@ -59,10 +59,22 @@ def _stacked(one_row: DataFrame, rows: list[tuple]) -> DataFrame:
     return stacked.withColumn("passed", F.col("failing_rows") == 0)
 
 
-def not_null(df: DataFrame, table: str, columns: list[str], severity: str = "error") -> DataFrame:
-    """NULL count per column, all columns in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
-    return _stacked(counts, [("not_null", table, c, severity, f"n{i}") for i, c in enumerate(columns)])
+def not_null(df: DataFrame, table: str, columns: list[str] | dict[str, str], severity: str = "error") -> DataFrame:
+    """NULL count per column, all columns in one pass (F2, F3, F9). A dict names a severity for each column."""
+    each = columns if isinstance(columns, dict) else dict.fromkeys(columns, severity)
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(each)])
+    return _stacked(counts, [("not_null", table, c, sev, f"n{i}") for i, (c, sev) in enumerate(each.items())])
+
+
+def key(df: DataFrame, table: str, column: str, others: dict[str, str] | None = None, severity: str = "error") -> DataFrame:
+    """A key is unique and not NULL (F1, F2), and other columns are not NULL, from one pass over the table."""
+    others = others or {}
+    by_key = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(others)])
+    null = F.col(column).isNull()
+    one = by_key.agg(F.count_if((F.col("n") > 1) & ~null).alias("twice"), F.sum(F.when(null, F.col("n")).otherwise(0)).alias("nulls"),
+                     *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(others))])
+    return _stacked(one, [("unique", table, column, severity, "twice"), ("not_null", table, column, severity, "nulls"),
+                          *[("not_null", table, c, sev, f"n{i}") for i, (c, sev) in enumerate(others.items())]])
 
 
 def relationship(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str,

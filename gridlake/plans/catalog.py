@@ -392,20 +392,14 @@ def _dq_report(f: Frames) -> DataFrame:
     metrics = g.dim_energy_metrics(spark)
     anomaly = g.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, baseline_rows=f.profile_rows)
     checks = [
-        dq.unique(f.dim_country, "dim_country", "country_code"),
-        dq.unique(f.dim_date, "dim_date", "time_key"),
-        dq.unique(metrics, "dim_energy_metrics", "metric_code"),
-        dq.unique(f.fct_energy_hourly, "fct_energy_hourly", "energy_event_id"),
-        dq.unique(f.stg_energy, "stg_energy", "energy_event_id"),
-        dq.not_null(f.dim_country, "dim_country", ["country_code"]),
-        dq.not_null(f.dim_date, "dim_date", ["time_key"]),
-        dq.not_null(metrics, "dim_energy_metrics", ["metric_code"]),
-        dq.not_null(f.fct_energy_hourly, "fct_energy_hourly", ["energy_event_id"]),
-        dq.not_null(f.stg_energy, "stg_energy", ["energy_event_id"]),
+        dq.key(f.dim_country, "dim_country", "country_code"),
+        dq.key(f.dim_date, "dim_date", "time_key"),
+        dq.key(metrics, "dim_energy_metrics", "metric_code"),
+        dq.key(f.fct_energy_hourly, "fct_energy_hourly", "energy_event_id"),
+        dq.key(f.stg_energy, "stg_energy", "energy_event_id", {"price_eur_mwh": "warn"}),
         dq.not_null(f.fct_price_baselines, "fct_price_baselines", ["country_code", "avg_price_baseline"]),
         dq.not_null(f.stg_price_stats, "stg_price_stats", ["country_code"]),
         dq.not_null(anomaly, "mrt_price_anomaly_detection", ["price_z_score"], severity="warn"),
-        dq.not_null(f.stg_energy, "stg_energy", ["price_eur_mwh"], severity="warn"),
         dq.relationship(f.fct_energy_hourly, "fct_energy_hourly", "country_code", f.dim_country, "country_code",
                         parent_rows=seeds.COUNTRY_SEED_ROWS),
         dq.columns_present(spark, f.bronze, "bronze"),

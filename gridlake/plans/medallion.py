@@ -114,18 +114,12 @@ def check_gold(spark: SparkSession, paths: LakePaths, target_zones: list[str] |
     stg = gold.stg_energy(lake.read_silver_features(spark, paths.features))
     stats = gold.stg_price_stats(lake.read_price_profile(spark, paths.profile))
     checks = [
-        quality.unique(stg, "stg_energy", "energy_event_id"),
-        quality.not_null(stg, "stg_energy", ["energy_event_id"]),
-        quality.not_null(stg, "stg_energy", ["price_eur_mwh"], "warn"),
+        quality.key(stg, "stg_energy", "energy_event_id", {"price_eur_mwh": "warn"}),
         quality.not_null(stats, "stg_price_stats", ["country_code"]),
-        quality.not_null(countries, "dim_country", ["country_code"]),
-        quality.not_null(dates, "dim_date", ["time_key"]),
-        quality.not_null(metrics, "dim_energy_metrics", ["metric_code"]),
-        quality.unique(countries, "dim_country", "country_code"),
-        quality.unique(dates, "dim_date", "time_key"),
-        quality.unique(metrics, "dim_energy_metrics", "metric_code"),
-        quality.unique(fact, "fct_energy_hourly", "energy_event_id"),
-        quality.not_null(fact, "fct_energy_hourly", ["energy_event_id"]),
+        quality.key(countries, "dim_country", "country_code"),
+        quality.key(dates, "dim_date", "time_key"),
+        quality.key(metrics, "dim_energy_metrics", "metric_code"),
+        quality.key(fact, "fct_energy_hourly", "energy_event_id"),
         quality.not_null(g("fct_price_baselines"), "fct_price_baselines", ["country_code", "avg_price_baseline"]),
         quality.not_null(g("mrt_price_anomaly_detection"), "mrt_price_anomaly_detection", ["price_z_score"], "warn"),
         quality.relationship(fact, "fct_energy_hourly", "country_code", countries, "country_code",

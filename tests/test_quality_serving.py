@@ -16,6 +16,10 @@ def test_checks(spark):
     assert u["failing_rows"] == 1 and u["passed"] is False
     nn = {r["column"]: r["failing_rows"] for r in quality.not_null(df, "t", ["k", "v"]).collect()}
     assert nn == {"k": 1, "v": 1}
+    both = {(r["check"], r["column"]): r["failing_rows"] for r in quality.key(df, "t", "k", {"v": "warn"}).collect()}
+    assert both == {("unique", "k"): 1, ("not_null", "k"): 1, ("not_null", "v"): 1}
+    none = quality.key(df.limit(0), "t", "k").collect()
+    assert [r["failing_rows"] for r in none] == [0, 0] and all(r["passed"] for r in none)
     fact = spark.createDataFrame([("DE_LU",), ("FR",), ("FR",), (None,)], "country_code string")
     dim = spark.createDataFrame([("DE_LU",), ("AT",)], "country_code string")
     rel = quality.relationship(fact, "fct", "country_code", dim, "country_code").first()
