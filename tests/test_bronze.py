@@ -14,8 +14,8 @@ def test_discover_zones_sorted_distinct():
 
 
 def test_no_price_columns_raises(tmp_path, spark):
-    path = write_csv(tmp_path, "noprice.csv", ["utc_timestamp", "DE_LU_load_actual", "DE_LU_solar_gen"],
-                     [["2020-01-01T00:00:00Z", "1", "2"]])
+    path = write_csv(tmp_path, "noprice.csv", ["utc_timestamp", "PL_wind_generation_actual", "BE_load_actual"],
+                     [["2021-07-09T10:00:00Z", "3.5", "4"]])
     with pytest.raises(ValueError, match="No price columns"):
         wide_csv.read_wide(spark, path)
 
