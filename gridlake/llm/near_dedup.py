@@ -84,24 +84,28 @@ def weighted(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def sketch(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
     """ProbMinHash: for each of ``n`` texts and each register, the element that arrives first (0 without elements)."""
-    time = np.full(n * registers, np.inf)
+    time = np.full((n, registers), np.inf)
     element = np.zeros(n * registers, A.U64)
-    arrival, w, base = np.zeros(len(text)), weights.astype(float), text * registers
+    flat = time.reshape(-1)
+    arrival, w, own = np.zeros(len(text)), weights.astype(float), text.astype(np.int64)
+    latest = np.full(n, np.inf)
     turn = 0
-    while len(base):
+    while len(own):
         turn += 1
         draw = A.mix(hashes + A.U64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
         arrival = arrival - np.log(((draw >> A.U64(11)).astype(float) + 0.5) * 2.0**-53) / w
+        go = arrival < latest[own]
+        own, hashes, w, arrival, draw = own[go], hashes[go], w[go], arrival[go], draw[go]
         # the bits that the arrival doesn't use name the register; unequal shares of registers don't bias a match
-        slot = base + ((draw & A.U64(2047)).astype(np.int64) * registers >> 11)
-        sooner = arrival < time[slot]
-        s, a, h = slot[sooner], arrival[sooner], hashes[sooner]
-        np.minimum.at(time, s, a)
-        won = time[s] == a
-        element[s[won]] = h[won]
-        latest = time.reshape(n, registers).max(1)
-        go = arrival < latest[base // registers]
-        base, hashes, w, arrival = base[go], hashes[go], w[go], arrival[go]
+        slot = own * registers + ((draw & A.U64(2047)).astype(np.int64) * registers >> 11)
+        sooner = np.flatnonzero(arrival < flat[slot])
+        s, a = slot[sooner], arrival[sooner]
+        np.minimum.at(flat, s, a)
+        won = flat[s] == a
+        element[s[won]] = hashes[sooner[won]]
+        # texts of few elements need many turns: only texts that still have some are looked at
+        left = np.unique(own)
+        latest[left] = time[left].max(1)
     return element.reshape(n, registers)
 
 
@@ -173,6 +177,36 @@ def _verified(batches):
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
+def _masses(left: list[tuple], right: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of texts of the two lists, the share of the first one's weight on elements that the second has, and
+    the other way round. No similarity is above either of them."""
+    sides = []
+    for own in (left, right):
+        row = np.repeat(np.arange(len(own)), [len(h) for h, _ in own])
+        sides.append((row, np.concatenate([h for h, _ in own]), np.concatenate([w / w.sum() for _, w in own]).astype(np.float32)))
+    # elements that only one list has are in no pair
+    both = np.intersect1d(np.unique(sides[0][1]), np.unique(sides[1][1]), assume_unique=True)
+    ab, ba = np.zeros((2, len(left), len(right)), np.float32)
+    cells = []
+    for row, hashes, share in sides:
+        column = np.minimum(np.searchsorted(both, hashes), max(len(both) - 1, 0))
+        some = both[column] == hashes if len(both) else np.zeros(len(hashes), bool)
+        order = np.argsort(column[some], kind="stable")
+        cells.append((row[some][order], column[some][order], share[some][order]))
+    for lo in range(0, len(both), _COLUMNS):
+        wide = min(_COLUMNS, len(both) - lo)
+        parts = []
+        for (row, column, share), own in zip(cells, (left, right)):
+            at = slice(*np.searchsorted(column, [lo, lo + wide]))
+            weight, has = np.zeros((2, len(own), wide), np.float32)
+            weight[row[at], column[at] - lo] = share[at]
+            has[row[at], column[at] - lo] = 1
+            parts.append((weight, has))
+        ab += parts[0][0] @ parts[1][1].T
+        ba += parts[0][1] @ parts[1][0].T
+    return ab, ba
+
+
 def _met(least: float):
     def run(key, group):
         """A spanning forest of the links between groups, in one block (side 0) or between two (sides 1 and 2)."""
@@ -180,26 +214,20 @@ def _met(least: float):
         ids, side = group.column("class").to_numpy(), group.column("side").to_numpy()
         _, grp = np.unique(group.column("grp").to_numpy(), return_inverse=True)
         own = [(np.frombuffer(h.as_buffer(), A.U64), np.frombuffer(w.as_buffer(), np.int32)) for h, w in zip(group.column("hashes"), group.column("weights"))]
-        n = len(own)
-        row = np.repeat(np.arange(n), [len(h) for h, _ in own])
-        share = np.concatenate([w / w.sum() for _, w in own]).astype(np.float32)
-        _, column, held = np.unique(np.concatenate([h for h, _ in own]), return_inverse=True, return_counts=True)
-        # elements of one member alone are in no pair
-        some = held[column] > 1
-        number = np.cumsum(held > 1) - 1
-        row, column, share = row[some], number[column[some]], share[some]
-        order = np.argsort(column, kind="stable")
-        row, column, share = row[order], column[order], share[order]
-        # mass[x, y]: the share of x's weight on elements that y has; no similarity is above it
-        mass = np.zeros((n, n), np.float32)
-        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
-            at = slice(*np.searchsorted(column, [lo, lo + _COLUMNS]))
-            weight, has = np.zeros((2, n, _COLUMNS), np.float32)
-            weight[row[at], column[at] - lo] = share[at]
-            has[row[at], column[at] - lo] = 1
-            mass += weight @ has.T
-        likely = np.minimum(mass, mass.T) >= least - 1e-4
-        likely &= (grp[:, None] != grp[None]) & ((side[:, None] != side[None]) | (side[:, None] == 0))
+        # the pairs to be compared: of one block with itself, or of one with the other
+        left = np.arange(len(own)) if side.max() == 0 else np.flatnonzero(side == 1)
+        right = left if side.max() == 0 else np.flatnonzero(side == 2)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        ab, ba = _masses([own[k] for k in left], [own[k] for k in right])
+        likely = (np.minimum(ab, ba) >= least - 1e-4) & (grp[left][:, None] != grp[right][None])
+        if left is right:
+            likely = np.triu(likely, 1)
+        # where no element of either text repeats, the similarity is that of sets, and the masses tell it exactly
+        single, size = np.array([bool((w == 1).all()) for _, w in own]), np.array([float(len(w)) for _, w in own])
+        sets = single[left][:, None] & single[right][None]
+        shared = np.rint(ab.astype(float) * size[left][:, None])
+        likely &= ~sets | (shared >= (least - 1e-12) * (size[left][:, None] + size[right][None] - shared))
         parent = list(range(int(grp.max()) + 1))
 
         def top(x: int) -> int:
@@ -209,9 +237,10 @@ def _met(least: float):
             return x
 
         edges = []
-        for x, y in zip(*(z.tolist() for z in np.nonzero(np.triu(likely, 1)))):
+        for x, y in zip(*(z.tolist() for z in np.nonzero(likely))):
+            known, x, y = sets[x, y], left[x], right[y]
             a, b = top(grp[x]), top(grp[y])
-            if a != b and probability_jaccard(*own[x], *own[y]) >= least - 1e-12:
+            if a != b and (known or probability_jaccard(*own[x], *own[y]) >= least - 1e-12):
                 parent[max(a, b)] = min(a, b)
                 edges.append((ids[x], ids[y]))
         return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
@@ -253,8 +282,8 @@ def links_and_groups(classes: DataFrame) -> DataFrame:
     alone = units.filter(F.col("size") > JOINED).select(F.lit(1).alias("kind"), F.col("bucket").alias("unit"), "class", "grp", "weight")
     # members of a unit's largest group need not meet each other: their blocks come after those of the others
     dealt = as_one.union(alone)
-    groups = dealt.groupBy("kind", "unit", "grp").agg(F.count(F.lit(1)).alias("size"), F.sum("weight").alias("elements"))
-    main = groups.groupBy("kind", "unit").agg(
+    by_group = dealt.groupBy("kind", "unit", "grp").agg(F.count(F.lit(1)).alias("size"), F.sum("weight").alias("elements"))
+    main = by_group.groupBy("kind", "unit").agg(
         F.max_by(F.struct("grp", "size", "elements"), F.struct("size", "grp")).alias("main"), F.sum("size").alias("size"), F.sum("elements").alias("elements"))
     blocks = lambda size, elements: F.ceil(F.greatest(size / BLOCK, elements / BLOCK_ELEMENTS)).cast("int")
     main = main.select("kind", "unit", F.col("main.grp").alias("main"), blocks(F.col("main.size"), F.col("main.elements")).alias("n_main"),
