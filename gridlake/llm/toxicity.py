@@ -152,13 +152,14 @@ def _fit(text: np.ndarray, feature: np.ndarray, ratios: np.ndarray, labels: np.n
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from rows of ``labels`` (doc_id, toxic) that are not held out."""
+    prepare(docs.sparkSession)
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null").join(marks, "doc_id")
-    # the least hashes first, so that the sample doesn't depend on how rows are dealt; hashes alone are sorted
-    hashed = rows.select(F.xxhash64("text").alias("h"), "doc_id", "label")
+    # the least hashes first, so that the sample doesn't depend on how rows are dealt; no text is shuffled for it
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    hashed = own.select("doc_id", F.xxhash64("text").alias("h")).join(marks, "doc_id")
     picked = hashed.groupBy("h").agg(F.max_by("doc_id", F.struct("label", "doc_id")).alias("doc_id"), F.max("label").alias("label")).orderBy("h").limit(sample)
-    data = written(docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null").join(F.broadcast(picked), "doc_id").filter(F.xxhash64("text") == F.col("h")).dropDuplicates(["h"]), "toxic-sample")
+    data = written(own.join(F.broadcast(picked), "doc_id").filter(F.xxhash64("text") == F.col("h")).dropDuplicates(["h"]), "toxic-sample")
     counts = {r["label"]: r["count"] for r in data.groupBy("label").count().collect()}
     total, toxic = sum(counts.values()), counts.get(1, 0)
     if toxic in (0, total):
