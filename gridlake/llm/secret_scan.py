@@ -5,7 +5,7 @@ more characters of the model's alphabet is scored by the logarithm of the ratio
 one of random strings and one of ordinary identifiers, and is a secret if its mean per step is above a threshold.
 Both models are trained here, from labelled samples: random strings are spelt from digests (hexadecimal, upper-case
 base 36, base 64); ordinary identifiers are the words of documents, alone and joined as in code. The corpus sample
-is bounded: the ``SAMPLE_DOCS`` documents with the least hash of their text. The models are tables of
+is bounded: the ``SAMPLE_DOCS`` texts with the least hashes, each word once. The models are tables of
 ``len(ALPHABET) ** 2`` numbers, so that they fit in a literal.
 
 Only built-in functions are used. Positions come from splitting a text at the matches and adding lengths. A
@@ -77,8 +77,10 @@ def labelled_strings(docs: DataFrame, text: str, sample_docs: int = SAMPLE_DOCS,
     digest = F.sha2(F.col("id"), 256)
     base36 = F.concat(*[F.conv(F.substring(digest, 1 + 12 * k, 12), 16, 36) for k in range(4)])
     random = ids.select(F.explode(F.array(digest, base36, F.base64(F.unhex(digest)))).alias("w"))
-    # a whole text may be very long: its words are told by the least hash of all, and whole texts are read
-    sample = docs.select(F.col(text).alias("t")).filter("t is not null").select("t", F.xxhash64("t").alias("h")).orderBy("h", "t").limit(sample_docs)
+    # the texts of the least hashes, each once: hashes alone are sorted, and texts stay where they are read
+    texts = docs.select(F.col(f"`{text}`").cast("string").alias("t")).filter("t is not null")
+    last = texts.select(F.xxhash64("t").alias("h")).distinct().orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+    sample = texts.filter(F.xxhash64("t") <= (last if last is not None else 0))
     words = sample.select(F.explode(F.split("t", r"[^A-Za-z]+")).alias("x")).filter(F.length("x") >= 2).groupBy("x").agg(F.min("x").alias("w")).select("w")
     marked = words.select(F.explode(F.array(F.col("w"), F.concat(F.initcap("w"), F.initcap("w")), F.concat(F.lower("w"), F.lit("_"), F.lower("w")),
                                             F.concat(F.lower("w"), F.lit("-"), F.lower("w")), F.concat(F.lower("w"), F.lit("/"), F.lower("w")))).alias("w"))
