@@ -6,11 +6,17 @@ on a bounded sample (``SAMPLE`` vectors with the least hashes), every vector goe
 than ``LEAF`` vectors are split again, by trees fitted on a bounded sample of each such leaf, until none is too large or
 splitting gains nothing. Within a leaf all pairs are compared by cosine in double precision.
 
+Cuts would tear a dense group apart, so dense groups larger than a leaf are met as a whole before the trees: where the
+sample shows one, all vectors within the linking angle of its centre are its members, and meet each other and all
+vectors within twice that angle, block by block. By the triangle inequality those are all that a member can link with,
+so links of members are exact, and members need no tree. A node of a tree whose sample pairs link often isn't cut.
+
 Equal vectors are one from the start, with their number: copies link without comparison. A pair that shares leaves is
 counted in the first one alone (each vector knows its leaves), so links are counted without a row for each pair; for
-groups a leaf sends a spanning forest of its links. So a leaf sends as many rows as it has vectors.
+groups a leaf sends a spanning forest of its links. So a leaf sends as many rows as it has vectors. What is sent to
+a leaf is a vector in the precision of the table and its leaves so far, once; units are made anew in the task.
 
-A leaf that can't be split (vectors so alike that they spill to both sides) is dealt out in blocks instead: each of
+A leaf that can't be split (a dense one, or vectors that spill to both sides) is dealt out in blocks instead: each of
 its blocks meets each other one in a task of its own, so that memory stays bounded and no pair is left out.
 
 Defined results: a null or empty vector, one with a null or non-finite component, or one of zeros links with nothing;
@@ -23,18 +29,24 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from gridlake.llm._components import components
 from gridlake.llm._session import prepare, written
 
 COSINE = 0.9
-TREES = 10
+TREES = 16
 SAMPLE = 20_000
-LEAF = 1024
+LEAF = 4096
 #: Share of a node's sample within the spill on each side of the cut.
-SPILL = 0.05
+SPILL = 0.12
+#: Members of a dense group that is met as a whole: an estimated share of ``LEAF`` and a number in the sample at least.
+GROUP, SEEN = 0.25, 16
+#: A node isn't cut if so large a share of its sample's pairs link.
+DENSE = 0.2
 #: Rounds of splitting large leaves, the largest ones of a round, and the sample of each. What is still large after the
 #: last round is met block by block.
 ROUNDS = 8
@@ -48,7 +60,8 @@ _STUCK = 1 << 39
 class Tree:
     """Cuts as arrays; a node is a leaf if its direction is missing."""
 
-    def __init__(self, sample: np.ndarray, leaf: int, rng: np.random.Generator):
+    def __init__(self, sample: np.ndarray, leaf: int, rng: np.random.Generator, least: float = COSINE):
+        self.least = least
         self.directions: list[np.ndarray | None] = []
         self.bounds: list[tuple[float, float]] = []
         self.children: list[tuple[int, int]] = []
@@ -61,6 +74,9 @@ class Tree:
         self.children.append((-1, -1))
         if len(rows) <= leaf or depth >= 40:
             return me
+        a, b = rng.integers(0, len(rows), (2, 512))
+        if (np.einsum("ij,ij->i", rows[a], rows[b])[a != b] >= self.least).mean() >= DENSE:
+            return me
         for _ in range(4):
             a, b = rows[rng.choice(len(rows), 2, replace=False)]
             at = rows @ (a - b)
@@ -89,29 +105,71 @@ class Tree:
         return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=-1, keepdims=True)  # so that squares neither vanish nor overflow
+    return x / np.sqrt((x * x).sum(axis=-1, keepdims=True)) + 0.0
+
+
 def _matrix(column) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, np.float64).reshape(len(column), -1)
+    """Unit vectors in double precision, from vectors as bytes: a mark of the precision (4 or 8), then the numbers."""
+    found = column.to_pylist()
+    if not found:
+        return np.empty((0, 0))
+    raw = np.frombuffer(b"".join(found), np.uint8).reshape(len(found), -1)
+    return _scaled(np.ascontiguousarray(raw[:, 1:]).view(f"f{raw[0, 0]}").astype(np.float64))
 
 
-def _usable(batches):
-    """Unit vectors in double precision as bytes; null for a vector that links with nothing."""
-    for batch in batches:
-        out = []
-        for v in batch.column("v").to_pylist():
-            unit = None
-            if v and all(x is not None for x in v):
-                x = np.array(v, np.float64)
-                if np.isfinite(x).all() and (top := np.abs(x).max()) > 0:
-                    x = x / top  # so that squares neither vanish nor overflow
-                    unit = ((x / np.sqrt((x * x).sum())) + 0.0).tobytes()
-            out.append(unit)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["row", "unit"])
+def _usable(size: int):
+    """Unit vectors in double precision as bytes, and vectors as they are, in ``size`` bytes a number; null for a vector
+    that links with nothing."""
+    def run(batches):
+        for batch in batches:
+            units, raws = [], []
+            for v in batch.column("v").to_pylist():
+                unit = raw = None
+                if v and all(x is not None for x in v):
+                    x = np.array(v, np.float64)
+                    if np.isfinite(x).all() and x.any():
+                        unit, raw = _scaled(x).tobytes(), bytes([size]) + x.astype(f"f{size}").tobytes()
+                units.append(unit)
+                raws.append(raw)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(units, pa.binary()), pa.array(raws, pa.binary())], ["row", "unit", "raw"])
+    return run
 
 
 def _sampled(rows: DataFrame, n: int) -> np.ndarray:
     held = rows.select("unit", F.xxhash64("unit").alias("h")).orderBy("h", "unit").limit(n).select("unit").collect()
-    return np.array([np.frombuffer(r["unit"], np.float64) for r in held])
+    return _matrix(pa.array([r["unit"] for r in held], pa.binary()))
+
+
+def _near(rows: np.ndarray, others: np.ndarray, least: float) -> np.ndarray:
+    """Per row, how many of the others it links with."""
+    out = np.zeros(len(rows), np.int64)
+    for at in range(0, len(rows), 512):
+        out[at : at + 512] = (rows[at : at + 512] @ others.T >= least).sum(1)
+    return out
+
+
+def dense_centres(sample: np.ndarray, n: int, leaf: int, least: float, trees: int) -> np.ndarray:
+    """Centres of the dense groups of a sample of ``n`` vectors, the largest first. A group that fewer meet by the trees
+    than by its surroundings is left to the trees."""
+    wanted = max(SEEN, GROUP * leaf * len(sample) / max(1, n))
+    centres, left = [], sample.astype(np.float32)
+    whole = left
+    if n <= leaf or least <= 0:  # one leaf; or the surroundings are everything
+        return np.empty((0, sample.shape[1]))
+    near = _near(left, left, least)
+    while len(left) and near.max() >= wanted:
+        first = left[near.argmax()]
+        own = left @ first >= least
+        mean = left[own].sum(0)
+        mean /= np.linalg.norm(mean)
+        centre, inside = (mean, own_mean) if (own_mean := left @ mean >= least).sum() >= own.sum() else (first, own)
+        if (whole @ centre >= 2 * least * least - 1).sum() <= trees * inside.sum():
+            centres.append(centre.astype(np.float64) / np.linalg.norm(centre.astype(np.float64)))
+        gone, left = left[inside], left[~inside]
+        near = near[~inside] - _near(left, gone, least)
+    return np.array(centres).reshape(-1, sample.shape[1])
 
 
 def _pairs_in(a: np.ndarray, least: float):
@@ -123,6 +181,35 @@ def _pairs_in(a: np.ndarray, least: float):
         yield i[keep] + at, j[keep] + at
 
 
+def _by_tree(leaves: pa.Array) -> list[np.ndarray]:
+    """Lists of leaves, as a table for each tree: a row for each list, filled up with -1."""
+    ends = np.cumsum(pc.list_value_length(leaves).to_numpy(zero_copy_only=False))
+    flat, row = pc.list_flatten(leaves).to_numpy(), pc.list_parent_indices(leaves).to_numpy()
+    tables = []
+    for tree in np.unique(flat >> 40):
+        own = np.flatnonzero(flat >> 40 == tree)
+        rows = row[own]
+        place = np.arange(len(own)) - np.searchsorted(rows, rows)
+        table = np.full((len(ends), place.max() + 1), -1, np.int64)
+        table[rows, place] = flat[own]
+        tables.append(table)
+    return tables
+
+
+def _earlier(tables: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Which pairs share one of the leaves in the tables."""
+    found = np.zeros(len(p), bool)
+    open_ = np.arange(len(p))
+    for table in tables:
+        own, other = table[p[open_]], table[q[open_]]
+        shared = np.zeros(len(open_), bool)
+        for k in range(table.shape[1]):
+            shared |= ((own == other[:, k : k + 1]) & (own >= 0)).any(1)
+        found[open_[shared]] = True
+        open_ = open_[~shared]
+    return found
+
+
 def _compare(least: float):
     def run(key, group):
         """Links of one leaf (or of two blocks of it): per vector the number of other vectors, and a spanning forest."""
@@ -130,40 +217,40 @@ def _compare(least: float):
         group = group.combine_chunks().sort_by("id")
         ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
         side = group.column("side").to_numpy()
-        leaves = group.column("leaves").to_pylist()
+        # of a leaf of a tree, pairs that share an earlier leaf are left out; a dense group has its pairs for itself
+        tables = _by_tree(group.column("leaves").combine_chunks()) if here >= 0 else []
         units = _matrix(group.column("unit"))
-        links, parent = np.zeros(len(ids), np.int64), list(range(len(ids)))
-
-        def top(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        edges = []
-        # the width of a vector's list of leaves is bounded, so first leaves are told by arrays
-        width = max(map(len, leaves))
-        table = np.full((len(ids), width), -1, np.int64)
-        for r, x in enumerate(leaves):
-            table[r, : len(x)] = x
+        links, root, edges = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
         for i, j in _pairs_in(units, least):
             apart = (side[i] != side[j]) | (side[i] == 0)
             i, j = i[apart], j[apart]
             for at in range(0, len(i), 1 << 14):
                 p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-                own, other = table[p], table[q]
-                both = np.zeros(own.shape, bool)
-                for k in range(width):
-                    both |= (own == other[:, k : k + 1]) & (own >= 0)
-                first = np.where(both, own, np.iinfo(np.int64).max).min(1) == here
-                p, q = p[first], q[first]
+                if tables:
+                    first = ~_earlier(tables, p, q)
+                    p, q = p[first], q[first]
                 np.add.at(links, p, copies[q])
                 np.add.at(links, q, copies[p])
-                for x, y in zip(p.tolist(), q.tolist()):
-                    a, b = top(x), top(y)
+                new = np.flatnonzero(root[p] != root[q])
+                if not len(new):
+                    continue
+                _, one = np.unique(root[p[new]] * len(ids) + root[q[new]], return_index=True)
+                parent = {}
+
+                def top(x: int) -> int:
+                    while x in parent:
+                        x = parent[x]
+                    return x
+
+                for k in new[one].tolist():
+                    a, b = top(int(root[p[k]])), top(int(root[q[k]]))
                     if a != b:
                         parent[max(a, b)] = min(a, b)
-                        edges.append((ids[x], ids[y]))
+                        edges.append((ids[p[k]], ids[q[k]]))
+                moved = np.arange(len(ids))
+                for x in parent:
+                    moved[x] = top(x)
+                root = moved[root]
         some = np.flatnonzero(links)
         a = np.concatenate([ids[some], np.array([e[0] for e in edges], np.int64)])
         b = np.concatenate([np.full(len(some), -1), np.array([e[1] for e in edges], np.int64)])
@@ -172,19 +259,18 @@ def _compare(least: float):
     return run
 
 
-def _assigned(vectors: DataFrame, trees: int, leaf: int, sample: int, seed: int) -> DataFrame:
-    """(id, unit, copies, leaf): every vector in every leaf that it goes to; leaf numbers ascend by tree."""
+def _assigned(vectors: DataFrame, rows: np.ndarray, n: int, least: float, trees: int, leaf: int, seed: int) -> DataFrame:
+    """(id, unit, copies, leaf): every vector in every leaf that it goes to; leaf numbers ascend by tree. ``rows`` are a
+    sample of the ``n`` vectors."""
     spark = vectors.sparkSession
-    rows = _sampled(vectors, sample)
-    n = vectors.count()
     # in the sample, a leaf has as many vectors as its share of the limit
-    size = max(8, int(leaf * min(1.0, len(rows) / max(1, n)) / 2))
+    size = max(8, int(leaf * min(1.0, len(rows) / max(1, n)) * 0.8))
     if len(rows) * leaf < 8 * n:
         size = 8
     if n <= leaf:
         size = len(rows)
         trees = 1
-    forest = [Tree(rows, size, np.random.default_rng([seed, t])) for t in range(trees)]
+    forest = [Tree(rows, size, np.random.default_rng([seed, t]), least) for t in range(trees)]
     shared = spark.sparkContext.broadcast(forest)
 
     def run(batches):
@@ -200,7 +286,7 @@ def _assigned(vectors: DataFrame, trees: int, leaf: int, sample: int, seed: int)
     return written(vectors.mapInArrow(run, "id long, unit binary, copies long, leaves array<long>"), "leaves")
 
 
-def _split(assigned: DataFrame, limit: int, seed: int) -> DataFrame:
+def _split(assigned: DataFrame, limit: int, seed: int, least: float) -> DataFrame:
     """Split leaves beyond the limit again; a leaf's parts get numbers of their own in the leaf's tree."""
     spark = assigned.sparkSession
     for turn in range(1, ROUNDS + 1):
@@ -218,7 +304,7 @@ def _split(assigned: DataFrame, limit: int, seed: int) -> DataFrame:
         def fit(key, group):
             at, rows = key[0].as_py(), _matrix(group.column("unit").combine_chunks())
             share = min(1.0, len(rows) / large[at])
-            tree = Tree(rows, max(8, int(limit * share / 2)), np.random.default_rng([seed, turn, at & 0xFFFFFFFF]))
+            tree = Tree(rows, max(8, int(limit * share * 0.8)), np.random.default_rng([seed, turn, at & 0xFFFFFFFF]), least)
             return pa.table({"leaf": pa.array([at], pa.int64()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
 
         for r in picked.groupBy("leaf").applyInArrow(fit, "leaf long, tree binary").collect():
@@ -248,17 +334,54 @@ def _split(assigned: DataFrame, limit: int, seed: int) -> DataFrame:
     return assigned
 
 
+def _marks(centres: np.ndarray, least: float):
+    """``own``: minus the number of the first dense group that a vector is a member of, or 0; ``around``: that group, and
+    those before it whose members it may link with. So a pair with a member meets in one group, the first of them."""
+    bound = 2 * least * least - 1 - 1e-9
+
+    def run(batches):
+        for batch in batches:
+            at = _matrix(batch.column("unit")) @ centres.T if len(batch) else np.empty((0, len(centres)))
+            inside = at >= least
+            first = np.where(inside.any(1), inside.argmax(1), len(centres))
+            number = np.arange(len(centres))
+            near = (at >= bound) & (number <= first[:, None])
+            around = [(-1 - number[x]).tolist() for x in near]
+            own = np.where(first < len(centres), -1 - first, 0)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("unit"), batch.column("copies"), pa.array(own, pa.int64()), pa.array(around, pa.list_(pa.int64()))], ["id", "unit", "copies", "own", "around"])
+    return run
+
 
 def links(vectors: DataFrame, least: float = COSINE, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """From distinct (id, unit, copies): (id, n_links, component) of those that link with another one."""
-    assigned = _split(_assigned(vectors, trees, leaf, sample, seed), leaf, seed)
-    placed = assigned.select("id", "unit", "copies", "leaves", F.explode("leaves").alias("leaf"))
-    counts = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
-    # a leaf beyond twice the limit is met block by block: pairs of blocks, each in a group of its own
-    placed = placed.join(counts, "leaf").withColumn("blocks", F.ceil(F.col("size") / (2 * leaf)).cast("int"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least(own, b).alias("lo"), F.greatest(own, b).alias("hi")))
-    met = placed.withColumn("own", own).withColumn("meet", F.explode(others))
+    rows, n = _sampled(vectors, sample), vectors.count()
+    centres = dense_centres(rows, n, leaf, least, trees)
+    grouped = None
+    if len(centres):
+        marked = written(vectors.mapInArrow(_marks(centres, least), "id long, unit binary, copies long, own long, around array<long>"), "marked")
+        grouped = marked.select("id", "unit", "copies", "own", F.explode("around").alias("leaf"))
+        vectors = marked.filter("own = 0").select("id", "unit", "copies")
+        rows, n = _sampled(vectors, sample), vectors.count()
+    placed = None
+    if n:
+        assigned = _split(_assigned(vectors, rows, n, least, trees, leaf, seed), leaf, seed, least)
+        placed = assigned.select("id", "unit", "copies", "leaves", F.explode("leaves").alias("leaf"))
+        earlier = F.filter("leaves", lambda x: x < F.col("leaf"))
+        placed = placed.select("leaf", "id", "unit", "copies", earlier.alias("leaves"), F.lit(True).alias("inside"))
+    if grouped is not None:
+        grouped = grouped.select("leaf", "id", "unit", "copies", F.array().cast("array<long>").alias("leaves"), (F.col("own") == F.col("leaf")).alias("inside"))
+        placed = grouped if placed is None else placed.union(grouped)
+    # a leaf beyond twice the limit is met block by block: pairs of blocks, each in a group of its own; blocks of vectors
+    # around a dense group meet those of its members alone. Only large leaves are looked up, so that vectors move once.
+    counts = placed.groupBy("leaf").agg(F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"))
+    counts = counts.withColumn("b_in", F.ceil(F.col("n_in") / (2 * leaf)).cast("int")).withColumn("b_out", F.ceil(F.col("n_out") / (2 * leaf)).cast("int"))
+    large = written(counts.filter("b_in > 1 or b_out > 0").select("leaf", "b_in", "b_out"), "large")
+    placed = placed.join(F.broadcast(large), "leaf", "left").withColumn("b_in", F.coalesce("b_in", F.lit(1))).withColumn("b_out", F.coalesce("b_out", F.lit(0))).filter("b_in > 0")
+    own = F.when(F.col("inside"), F.pmod(F.xxhash64("id"), F.col("b_in"))).otherwise(F.col("b_in") + F.pmod(F.xxhash64("id"), F.greatest("b_out", F.lit(1)))).cast("int")
+    last = F.when(F.col("inside"), F.col("b_in") + F.col("b_out") - 1).otherwise(F.col("b_in") - 1)
+    placed = placed.withColumn("own", own)
+    others = F.transform(F.sequence(F.lit(0), last), lambda b: F.struct(F.least("own", b).alias("lo"), F.greatest("own", b).alias("hi")))
+    met = placed.withColumn("meet", F.explode(others))
     # 0: compared with all; 1 and 2: with the other side only
     side = F.when(F.col("meet.lo") == F.col("meet.hi"), 0).when(F.col("own") == F.col("meet.lo"), 1).otherwise(2)
     met = met.select("leaf", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "id", "unit", "copies", "leaves", side.cast("long").alias("side"))
@@ -273,13 +396,16 @@ def dedup(df: DataFrame, key: str, vector: str, least: float = COSINE, **options
     prepare(df.sparkSession)
     rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     rows = written(rows, "vectors")
-    units = rows.select("row", "v").mapInArrow(_usable, "row long, unit binary")
+    # numbers of a table of floats are held in 4 bytes
+    held = df.select(F.col(f"`{vector}`")).schema[0].dataType
+    size = 4 if isinstance(held, ArrayType) and isinstance(held.elementType, FloatType) else 8
+    units = rows.select("row", "v").mapInArrow(_usable(size), "row long, unit binary, raw binary")
     units = written(rows.select("row", "key").join(units, "row"), "units")
-    distinct = written(units.filter("unit is not null").groupBy("unit").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least")), "distinct")
-    sizes = [r[0] for r in distinct.select(F.length("unit").alias("n")).distinct().limit(1000).collect()]
+    distinct = written(units.filter("unit is not null").groupBy("unit").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.min("raw").alias("raw")), "distinct")
+    sizes = [r[0] for r in distinct.select(F.length("raw").alias("n")).distinct().limit(1000).collect()]
     found = None
     for size in sizes:  # vectors of unlike lengths never meet
-        part = links(distinct.filter(F.length("unit") == size).select("id", "unit", "copies"), least, **options)
+        part = links(distinct.filter(F.length("raw") == size).select("id", F.col("raw").alias("unit"), "copies"), least, **options)
         found = part if found is None else found.union(part)
     ids = distinct.select("id", "unit", "copies", "least")
     if found is not None:

@@ -224,6 +224,35 @@ def test_vectors_against_brute_force(spark, leaf):
     assert embedding_dedup.dedup(df.limit(0), "vec_id", "embedding").count() == 0
 
 
+def many_links_of(vectors, least=0.9):
+    unit = np.array(vectors, float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    return np.concatenate([(unit[at : at + 512] @ unit.T >= least).sum(1) - 1 for at in range(0, len(unit), 512)])
+
+
+def planted(rng, spread, dense, others, size):
+    """One dense group around a centre, and small groups of near vectors."""
+    def around(centre, n):
+        x = rng.normal(size=(n, size))
+        return centre + spread * x / np.linalg.norm(x, axis=1, keepdims=True)
+    centres = rng.normal(size=(others // 4, size))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    rows = [around(centres[0], dense), *[around(c, 4) for c in centres]]
+    return np.concatenate(rows).astype(np.float32)
+
+
+def found_links(spark, vectors):
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>").repartition(8)
+    rows = embedding_dedup.dedup(frame, "vec_id", "embedding").select("vec_id", "n_links").collect()
+    return np.array([n for _, n in sorted(map(tuple, rows))])
+
+
+def test_links_of_a_dense_group_larger_than_leaves(spark):
+    vectors = planted(np.random.default_rng(5), 0.3, 3 * embedding_dedup.LEAF, 6000, 64)
+    links, got = many_links_of(vectors), found_links(spark, vectors)
+    assert (got <= links).all() and got.sum() >= 0.98 * links.sum()
+
+
 # --- pipeline
 
 def test_pipeline_stages(spark, awkward):
