@@ -6,6 +6,11 @@ sentences. What remains of a text is the sequence of identifiers of its known se
 this sequence: a rule is a sequence of identifiers that must follow each other, the first rules are the most
 specific ones, and what a rule has read is not read again by a later one.
 
+Notices are wrapped, often in comments. So known sentences are looked for in runs of lines, and of parts between colons
+and semicolons, that begin where a known sentence can begin: the longest run whose joined normal form is known counts.
+A run ends at a full stop and at an empty line (one without ASCII letters and digits), but for that before the address
+of the Apache licence. ``n_sentences`` counts the parts between end marks and line breaks, wrapped or not.
+
 Only built-in functions are used. A document's sentences stay in its row (an array), so nothing is shuffled, and a
 hot source or a group of copies is no more work than other rows. The known sentences and the rules are fixed and
 small; they become literals of the plan.
@@ -78,6 +83,10 @@ RULES = (
 SENTENCE_END = r"[.!?:;]+[ \t\r\n]+|\n+"
 MARKS = r"[^0-9a-z]+"
 YEARS = r"^copyright( c)?( [0-9]{4})+ "
+#: What ends a run of lines, what parts it, and the address that follows an empty line.
+RUN_END = r"[.!?]+[ \t\r\n]+|\n(?:[^0-9A-Za-z\n]*\n)++"
+RUN_PART = r"[:;]+[ \t\r\n]+|\n+"
+ADDRESS = r"(?i)(copy[^0-9a-z]+of[^0-9a-z]+the[^0-9a-z]+licen[cs]e[^0-9a-z]+at)[^0-9a-z]+(http)"
 
 
 def sentences(text: Column) -> Column:
@@ -91,21 +100,42 @@ def normal_form(sentence: Column) -> Column:
     return F.regexp_replace(F.replace(plain, F.lit("licence"), F.lit("license")), YEARS, "")
 
 
-def _wanted(sentence: Column, names: dict[str, str]) -> Column:
-    """Keep what may be a known sentence: no shorter than the shortest, and with one of their first letters."""
-    first = "".join(sorted({s[0] for s in names} | {"c"}))
-    return F.lower(sentence).rlike(rf"^[^0-9a-z]*[{first}]") & (F.length(sentence) >= min(map(len, names)))
+def _opener(names: dict[str, str]) -> str:
+    """A pattern of the first two words of known sentences, or a copyright line, at the start of a part of a run."""
+    starts = {r"[^0-9a-z]+".join(s.split(" ")[:2]).replace("license", "licen[sc]e") for s in names}
+    return rf"(?im)(?:^|[:;][ \t\r\n]+)[^0-9a-z]*(?:{'|'.join(sorted(starts))}|copyright[^0-9a-z])"
+
+
+def _known(run: Column, known: Column, opener: str, parts: int) -> Column:
+    """Identifiers of the known sentences in a run, in order: from each part on, the longest one of ``parts`` at most."""
+    texts = F.filter(F.split(run, RUN_PART), lambda s: F.length(F.trim(s)) > 0)
+    none = F.array().cast("array<string>")
+
+    def fold(held: Column) -> Column:
+        def step(acc, k):
+            ends = F.sequence(F.lit(1), F.least(F.lit(parts), F.size(held) - k + 1))
+            found = F.filter(F.transform(ends, lambda n: F.struct(n.alias("n"), F.try_element_at(known, normal_form(F.array_join(F.slice(held, k, n), " "))).alias("id"))), lambda x: x["id"].isNotNull())
+            # a part that goes on with a sentence opened before is not looked at; nor one that opens none
+            looked = F.when((k > acc["done"]) & (F.concat(F.element_at(held, k), F.lit(" "), F.coalesce(F.try_element_at(held, k + 1), F.lit(""))).rlike(opener)), F.try_element_at(found, F.lit(-1)))
+            return F.transform(F.array(looked), lambda x: F.struct(
+                F.when(x.isNotNull(), k + x["n"] - 1).otherwise(acc["done"]).alias("done"),
+                F.when(x.isNotNull(), F.concat(acc["ids"], F.array(x["id"]))).otherwise(acc["ids"]).alias("ids")))[0]
+
+        start = F.struct(F.lit(0).alias("done"), none.alias("ids"))
+        return F.when(F.size(held) > 0, F.aggregate(F.sequence(F.lit(1), F.size(held)), start, step, lambda acc: acc["ids"])).otherwise(none)
+
+    return F.flatten(F.transform(F.array(texts), fold))
 
 
 def scan(df: DataFrame, text: Column, names: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
     """``df`` with n_sentences, sentence_ids, licenses and unread_ids (known sentences that no rule has read)."""
     known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    looked_up = F.transform(F.filter(F.col("_sentences"), lambda s: _wanted(s, names)),
-                            lambda s: F.try_element_at(known, normal_form(s)))
+    opener, parts = _opener(names), max(len(x.split(" ")) for x in names)
+    runs = F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), ADDRESS, "$1 $2"), RUN_END), lambda r: r.rlike(opener))
     out = (
         df.withColumn("_sentences", sentences(text))
         .withColumn("n_sentences", F.size("_sentences").cast("long"))
-        .withColumn("_ids", F.filter(looked_up, lambda x: x.isNotNull()))
+        .withColumn("_ids", F.flatten(F.transform(runs, lambda r: _known(r, known, opener, parts))))
         .withColumn("sentence_ids", F.array_join("_ids", ","))
         .withColumn("_rest", F.when(F.size("_ids") > 0, F.concat(F.lit(","), F.array_join("_ids", ",,"), F.lit(","))).otherwise(""))
     )

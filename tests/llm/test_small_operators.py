@@ -54,6 +54,66 @@ def test_licence_rules_in_order(spark):
     assert got == {0: ("", ""), 1: ("", ""), 2: ("Apache-2.0", ""), 3: ("MIT", ""), 4: ("", "MITnotice,MITgrant"), 5: ("MIT,proprietary", "")}
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD = """Copyright (c) 2001, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+
+
+def test_wrapped_notices(spark):
+    ids = {"Apache-2.0": "Apache2ref,ApacheComply,ApacheCopy,ApacheAsIs,ApacheSee", "GPL-3.0-or-later": "GPL3plus,GPLwarranty,GPLsee",
+           "BSD-3-Clause,proprietary": "AllRights,BSDgrant,BSDsource,BSDbinary,BSDnames", "MIT": "MITgrant,MITnotice"}
+    notices = dict(zip(ids, (APACHE, GPL, BSD, MIT)))
+    rows = [(name, f"{head}{prefix}{text.replace(end, end + prefix)}{end}int main;".replace("\n", end2))
+            for name, text in notices.items() for head, prefix in (("", ""), ("/*\n", " * "), ("", "# "), ("", "// ")) for end in ("\n",) for end2 in ("\n", "\r\n")]
+    got = license_scan.scan(spark.createDataFrame(rows, "name string, text string"), F.col("text")).collect()
+    assert all((r["licenses"], r["sentence_ids"]) == (r["name"], ids[r["name"]]) for r in got) and len(got) == 32
+    lines = [("MIT", "Released under the MIT license\nsome more words"), ("MIT", "This project is\nlicensed under the MIT license\n"), ("", "All rights.\nReserved\n\nreleased under\n\nthe MIT license")]
+    got = license_scan.scan(spark.createDataFrame(lines, "name string, text string"), F.col("text")).collect()
+    assert all(r["licenses"] == r["name"] and r["sentence_ids"].count("MIT") == len(r["name"]) // 3 for r in got)
+
+
 def test_licence_scan_of_awkward_rows(awkward):
     out = license_scan.scan(awkward, F.col("text")).collect()
     assert len(out) == len(AWKWARD) and all(r["licenses"] == "" and r["kept"] == "clash" for r in out)
