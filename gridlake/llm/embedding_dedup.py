@@ -371,6 +371,11 @@ def links(vectors: DataFrame, least: float = COSINE, trees: int = TREES, leaf: i
     if grouped is not None:
         grouped = grouped.select("leaf", "id", "unit", "copies", F.array().cast("array<long>").alias("leaves"), (F.col("own") == F.col("leaf")).alias("inside"))
         placed = grouped if placed is None else placed.union(grouped)
+    return _met(placed, least, leaf)
+
+
+def _met(placed: DataFrame, least: float, leaf: int) -> DataFrame:
+    """Links from vectors in leaves: leaf, id, unit, copies, leaves (earlier ones), inside (not only around a group)."""
     # a leaf beyond twice the limit is met block by block: pairs of blocks, each in a group of its own; blocks of vectors
     # around a dense group meet those of its members alone. Only large leaves are looked up, so that vectors move once.
     counts = placed.groupBy("leaf").agg(F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"))
@@ -402,16 +407,17 @@ def dedup(df: DataFrame, key: str, vector: str, least: float = COSINE, **options
     units = rows.select("row", "v").mapInArrow(_usable(size), "row long, unit binary, raw binary")
     units = written(rows.select("row", "key").join(units, "row"), "units")
     distinct = written(units.filter("unit is not null").groupBy("unit").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.min("raw").alias("raw")), "distinct")
-    sizes = [r[0] for r in distinct.select(F.length("raw").alias("n")).distinct().limit(1000).collect()]
-    found = None
-    for size in sizes:  # vectors of unlike lengths never meet
-        part = links(distinct.filter(F.length("raw") == size).select("id", F.col("raw").alias("unit"), "copies"), least, **options)
-        found = part if found is None else found.union(part)
+    # vectors of unlike lengths never meet; a length that fits in a leaf is one, and all such lengths go in one pass
+    leaf = options.get("leaf", LEAF)
+    size = F.length("raw")
+    lengths = written(distinct.groupBy(size.cast("long").alias("leaf")).count(), "lengths")
+    some = distinct.select("id", F.col("raw").alias("unit"), "copies", size.cast("long").alias("leaf"))
+    small = some.join(lengths.filter(F.col("count") <= leaf).select("leaf"), "leaf")
+    found = _met(small.withColumn("leaves", F.array().cast("array<long>")).withColumn("inside", F.lit(True)), least, leaf)
+    for r in lengths.filter(F.col("count") > leaf).collect():
+        found = found.union(links(some.filter(F.col("leaf") == r["leaf"]).drop("leaf"), least, **options))
     ids = distinct.select("id", "unit", "copies", "least")
-    if found is not None:
-        ids = ids.join(found, "id", "left")
-    else:
-        ids = ids.withColumn("n_links", F.lit(None).cast("long")).withColumn("component", F.lit(None).cast("long"))
+    ids = ids.join(found, "id", "left")
     ids = written(ids.select("unit", "least", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("grp")), "linked")
     least_of = ids.groupBy("grp").agg(F.min("least").alias("component_id"))
     ids = ids.join(least_of, "grp").select("unit", "n_links", "component_id")

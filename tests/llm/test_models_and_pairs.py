@@ -255,6 +255,13 @@ def test_links_of_a_dense_group_larger_than_leaves(spark, spread):
     assert (got <= links).all() and got.sum() >= 0.98 * links.sum()
 
 
+def test_vectors_of_many_lengths(spark):
+    rows = [(2 * n + k, [1.0] * (n - 1) + [1.0 + k / 100]) for n in range(2, 1202) for k in range(2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)
+    got = {tuple(r) for r in embedding_dedup.dedup(frame, "vec_id", "embedding").collect()}
+    assert got == {(i, 1, i - i % 2, i % 2 == 0) for i, _ in rows}
+
+
 # --- pipeline
 
 def test_pipeline_stages(spark, awkward):
