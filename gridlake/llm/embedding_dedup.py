@@ -40,7 +40,7 @@ from gridlake.llm._session import prepare, written
 COSINE = 0.9
 TREES = 16
 SAMPLE = 20_000
-LEAF = 4096
+LEAF = 1024
 #: Share of a node's sample within the spill on each side of the cut.
 SPILL = 0.12
 #: Members of a dense group that is met as a whole: an estimated share of ``LEAF`` and a number in the sample at least.
