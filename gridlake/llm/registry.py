@@ -8,7 +8,11 @@ from gridlake.llm.exact_dedup import op11_exact_dedup
 from gridlake.llm.exact_dedup import oracle as exact_oracle
 from gridlake.llm.license_scan import op1_license_scan
 from gridlake.llm.license_scan import oracle as license_oracle
+from gridlake.llm.merkle import op13_merkle_manifest
+from gridlake.llm.merkle import oracle as merkle_oracle
 from gridlake.llm.near_dedup import op5_near_dedup
+from gridlake.llm.ranked_search import op12_ranked_search
+from gridlake.llm.ranked_search import oracle as search_oracle
 from gridlake.llm.secret_scan import op6_secret_scan
 from gridlake.llm.sharding import op9_sharding
 from gridlake.llm.sharding import oracle as sharding_oracle
@@ -21,8 +25,9 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_license_scan, op2_decontaminate, op3_byte_bpe, op4_toxicity, op5_near_dedup,
         op6_secret_scan, op7_embedding_dedup, op8_substring_dedup, op9_sharding, op10_suffix_dedup,
-        op11_exact_dedup)}
+        op11_exact_dedup, op12_ranked_search, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_oracle(), "op9_sharding": sharding_oracle(), "op11_exact_dedup": exact_oracle()}
+    return {"op1_license_scan": license_oracle(), "op9_sharding": sharding_oracle(), "op11_exact_dedup": exact_oracle(),
+            "op12_ranked_search": search_oracle(), "op13_merkle_manifest": merkle_oracle()}
