@@ -37,7 +37,10 @@ def wide_csv(tmp_path):
     return str(path)
 
 
-def write_csv(tmp_path, name, header, rows):
-    path = tmp_path / name
-    path.write_text("\n".join([",".join(header)] + [",".join(r) for r in rows]) + "\n")
-    return str(path)
+@pytest.fixture(scope="session")
+def write_csv():
+    def write(folder, name, header, rows):
+        path = folder / name
+        path.write_text("\n".join([",".join(header)] + [",".join(r) for r in rows]) + "\n")
+        return str(path)
+    return write

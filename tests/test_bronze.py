@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_csv
 from gridlake.operators import bronze
 from gridlake.sources import wide_csv
 
@@ -13,7 +12,7 @@ def test_discover_zones_sorted_distinct():
     assert wide_csv.discover_zones(cols) == ["AT", "DE_LU"]
 
 
-def test_no_price_columns_raises(tmp_path, spark):
+def test_no_price_columns_raises(tmp_path, spark, write_csv):
     path = write_csv(tmp_path, "noprice.csv", ["utc_timestamp", "PL_wind_generation_actual", "BE_load_actual"],
                      [["2021-07-09T10:00:00Z", "3.5", "4"]])
     with pytest.raises(ValueError, match="No price columns"):
@@ -38,7 +37,7 @@ def wide_csv_frame(spark, path):
     return wide_csv.read_wide(spark, path)
 
 
-def test_nested_prefixes_tokens_and_unparsable(tmp_path, spark):
+def test_nested_prefixes_tokens_and_unparsable(tmp_path, spark, write_csv):
     header = ["utc_timestamp", "IT_NORD_price_day_ahead", "IT_NORD_AT_price_day_ahead", "IT_NORD_AT_load_actual",
               "SE_1_price_day_ahead", "SE_2_price_day_ahead", "XX_load_actual"]
     rows = [

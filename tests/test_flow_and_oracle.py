@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import write_csv
 from gridlake import schemas
 from gridlake.operators import quality
 from gridlake.plans import catalog, medallion
@@ -16,7 +15,7 @@ from gridlake.sources import lake
 SF = "/root/testdata/sf0.001"
 
 
-def test_batch_flow_end_to_end(spark, tmp_path):
+def test_batch_flow_end_to_end(spark, tmp_path, write_csv):
     header = ["utc_timestamp", "DE_LU_price_day_ahead", "DE_LU_load_actual_entsoe_transparency",
               "DE_LU_solar_generation_actual", "DE_LU_wind_generation_actual", "SE_1_price_day_ahead",
               "SE_1_load_actual_entsoe_transparency"]
@@ -45,7 +44,7 @@ def test_batch_flow_end_to_end(spark, tmp_path):
     assert sum(r["hours_in_bucket"] for r in green) == 144
 
 
-def test_failed_check_fails_the_flow(spark, tmp_path):
+def test_failed_check_fails_the_flow(spark, tmp_path, write_csv):
     header = ["utc_timestamp", "DE_LU_price_day_ahead", "ZZ_price_day_ahead"]        # no such zone in the seed
     path = write_csv(tmp_path, "wide.csv", header, [["2020-01-01T00:00:00Z", "30", "31"]])
     with pytest.raises(quality.QualityError, match="relationships fct_energy_hourly.country_code: 1"):
