@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.functions.semantics import (
@@ -43,6 +43,38 @@ def maybe_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_BYTE
     return F.broadcast(df) if rows is not None and rows * COLUMN_BYTES * len(df.columns) <= limit else df
 
 
+def cell_index(month="month_of_year", weekday="day_of_week", hour="hour_of_day") -> Column:
+    """The place of a (month, weekday, hour) among the ``PROFILE_CELLS`` of a zone, from 1; NULL if one is missing."""
+    return ((F.col(month) - 1) * 7 + F.col(weekday) - 1) * 24 + F.col(hour) + 1
+
+
+def dense_cells(baselines: DataFrame, values: list[str]) -> DataFrame:
+    """(country_code, cells): one array a zone with the ``values`` of each cell at its place, NULL where it has none.
+
+    Two different rows for one cell end the run: a lookup needs unique keys.
+    """
+    entries = F.collect_list(F.struct(cell_index().alias("key"), F.struct(*values).alias("value")))
+    by_place = baselines.where(cell_index().isNotNull()).groupBy("country_code").agg(F.map_from_entries(entries).alias("by_place"))
+    places = F.sequence(F.lit(1), F.lit(PROFILE_CELLS))
+    return by_place.select("country_code", F.transform(places, lambda k: F.try_element_at("by_place", k)).alias("cells"))
+
+
+def with_cells(rows: DataFrame, baselines: DataFrame, values: list[str], zones: int | None, how: str = "inner") -> DataFrame:
+    """``rows`` (country_code, month_of_year, day_of_week, hour_of_day, ...) with the ``values`` of their baseline cell.
+
+    With ``zones``, the number of zones, the baselines travel as one dense array a zone, broadcast by that bound, and a
+    row finds its cell by index; without it (or beyond the bound) rows and baselines are joined on the four keys.
+    """
+    keys = ["country_code", "month_of_year", "day_of_week", "hour_of_day"]
+    if zones is None or zones * PROFILE_CELLS * COLUMN_BYTES * len(values) > BROADCAST_BYTES:
+        return rows.join(baselines.select(*keys, *values), keys, how)
+    dense = F.broadcast(dense_cells(baselines.select(*keys, *values), values))
+    found = rows.join(dense, "country_code", how).withColumn("_cell", F.try_element_at("cells", cell_index()))
+    if how == "inner":
+        found = found.where(F.col("_cell").isNotNull())
+    return found.select(*rows.columns, *[F.col(f"_cell.{v}").alias(v) for v in values])
+
+
 # ------------------------------------------------------------------------------ staging
 def stg_energy(silver: DataFrame) -> DataFrame:
     """Rename + cast of silver features, with the md5 surrogate key."""
@@ -276,10 +308,10 @@ def duck_curve(fact: DataFrame) -> DataFrame:
 
 
 def price_anomaly(fact: DataFrame, baselines: DataFrame, k: float = ANOMALY_SIGMAS,
-                  baseline_rows: int | None = None) -> DataFrame:
-    """Priced hours ⋈ baseline (inner, D5) on zone, month, weekday, hour; z-score and status.
+                  zones: int | None = None) -> DataFrame:
+    """Priced hours with their baseline (inner, D5) on zone, month, weekday, hour; z-score and status.
 
-    ``baseline_rows``: the most that the baseline can have, if known (zones × ``PROFILE_CELLS``).
+    ``zones``: how many zones there are, if known; the baselines are then looked up by index (``with_cells``).
 
     The weekday on both sides is Spark's 1 = Sunday … 7 = Saturday (R1 fixed).
     """
@@ -292,11 +324,7 @@ def price_anomaly(fact: DataFrame, baselines: DataFrame, k: float = ANOMALY_SIGM
         dow("event_time").alias("day_of_week"),
         F.hour("event_time").alias("hour_of_day"),
     )
-    b = baselines.select(
-        "country_code", "month_of_year", "day_of_week", "hour_of_day", "avg_price_baseline", "stddev_price_baseline"
-    )
-    joined = hourly.join(maybe_broadcast(b, baseline_rows), ["country_code", "month_of_year", "day_of_week", "hour_of_day"], "inner")
-    return anomaly_columns(joined, k)
+    return anomaly_columns(with_cells(hourly, baselines, ["avg_price_baseline", "stddev_price_baseline"], zones), k)
 
 
 def anomaly_columns(joined: DataFrame, k: float = ANOMALY_SIGMAS) -> DataFrame:

@@ -222,13 +222,13 @@ ANOM_DOUBLES = {"actual_price", "expected_price", "stddev_price_baseline", "pric
 
 @register("price_anomaly", _sel("anomaly", ANOM_COLS, ANOM_DOUBLES))
 def _anomaly(f: Frames) -> DataFrame:
-    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, baseline_rows=f.profile_rows)
+    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, zones=f.zones)
 
 
 @register("price_anomaly_one_sigma", O.with_ctes("anomaly") + ", one AS (" + O.anomaly_cte(1.0) + ")\n"
           + f"SELECT {', '.join(O.r(c, c) if c in ANOM_DOUBLES else c for c in ANOM_COLS)} FROM one")
 def _anomaly_one(f: Frames) -> DataFrame:
-    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, k=1.0, baseline_rows=f.profile_rows)
+    return gold.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, k=1.0, zones=f.zones)
 
 
 @register("price_anomaly_month_hour", _sel("anomaly_mh", ANOM_COLS, ANOM_DOUBLES))
@@ -253,7 +253,7 @@ def live_messages(f: Frames) -> DataFrame:
 
 def _scored(f: Frames) -> DataFrame:
     good, _ = scoring.split_bad(scoring.decode(live_messages(f)))
-    return scoring.score(good, f.fct_price_baselines, lookup_rows=f.profile_rows)
+    return scoring.score(good, f.fct_price_baselines, zones=f.zones)
 
 
 @register("live_scores", LIVE_SQL, exact=("price_eur_mwh",))
@@ -390,7 +390,7 @@ def _dq_report(f: Frames) -> DataFrame:
     from gridlake.sources.wide_csv import discover_zones
     spark = f.spark
     metrics = g.dim_energy_metrics(spark)
-    anomaly = g.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, baseline_rows=f.profile_rows)
+    anomaly = g.price_anomaly(f.fct_energy_hourly, f.fct_price_baselines, zones=f.zones)
     checks = [
         dq.key(f.dim_country, "dim_country", "country_code"),
         dq.key(f.dim_date, "dim_date", "time_key"),

@@ -67,10 +67,6 @@ class Frames:
         """How many zones there are: the adapter's list bounds them."""
         return len(driver_tables.ZONES)
 
-    @property
-    def profile_rows(self) -> int:
-        return self.zones * gold.PROFILE_CELLS
-
     @cached_property
     def month_rows(self) -> int:
         start, end = self.date_bounds

@@ -89,7 +89,6 @@ def build_gold(spark: SparkSession, paths: LakePaths, start: dt.datetime | None
     countries = gold.dim_country(spark, country_seed)
     dates = gold.dim_date(spark, start, end)
     months = None if zones is None else zones * ((end.year - start.year) * 12 + end.month - start.month + 1)
-    cells = None if zones is None else zones * gold.PROFILE_CELLS
     country_rows = seeds.COUNTRY_SEED_ROWS if seed_dir is None else None
     write = lambda df, name, by=None: writers.write_gold(df, paths.gold, name, by)
     write(countries, "dim_country")
@@ -103,7 +102,7 @@ def build_gold(spark: SparkSession, paths: LakePaths, start: dt.datetime | None
     write(gold.green_performance(fact), "mrt_country_green_performance")
     write(gold.financial_risk(fact, months), "mrt_financial_risk")
     write(gold.duck_curve(fact), "mrt_duck_curve_monthly")
-    write(gold.price_anomaly(fact, baselines, baseline_rows=cells), "mrt_price_anomaly_detection")
+    write(gold.price_anomaly(fact, baselines, zones=zones), "mrt_price_anomaly_detection")
 
 
 def check_gold(spark: SparkSession, paths: LakePaths, target_zones: list[str] | None = None):

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake import schemas
+from gridlake.sinks.batches import read_batches
 
 # What the stream writes.
 SCORED = ("event_time timestamp, region string, price_eur_mwh double, expected_price double, z_score double, "
@@ -42,8 +43,8 @@ def read_gold(spark: SparkSession, gold_root: str, table: str, empty=None) -> Da
 
 
 def read_realtime(spark: SparkSession, path: str) -> DataFrame:
-    """The streaming sink; the file index honours the sink's ``_spark_metadata`` log.
+    """The scored stream: complete batches, and the segments that they were packed into.
 
     Before the stream has written anything, it reads as no rows.
     """
-    return _or_empty(spark, path, SCORED)
+    return read_batches(spark, path, SCORED)
