@@ -77,6 +77,40 @@ def key(df: DataFrame, table: str, column: str, others: dict[str, str] | None =
                           *[("not_null", table, c, sev, f"n{i}") for i, (c, sev) in enumerate(others.items())]])
 
 
+def hours_by_part(df: DataFrame, zone: str, ts: str, parts: list[str]) -> DataFrame:
+    """For each part of a table (its partition columns and the zone): rows, hours, rows off the hour, rows without a key.
+
+    One row an hour and zone is the key of the hourly tables, and a part holds all rows of its zone and year. So the key is
+    unique if each part has as many rows as hours. Hours are marked in bitmaps (4 kB for 32,768 hours) where the rows are
+    read; what is shuffled is a bitmap for each task and part, never a key.
+    """
+    hour = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 3600)
+    key = F.col(zone).isNotNull() & F.col(ts).isNotNull()
+    marked = df.select(*[F.col(p).alias(f"part_{i}") for i, p in enumerate(parts)], F.col(zone).alias("zone"), key.alias("has_key"), hour.alias("hour"),
+                       (F.date_trunc("hour", ts).cast("timestamp_ntz") != F.col(ts).cast("timestamp_ntz")).alias("off"))
+    by = [f"part_{i}" for i in range(len(parts))] + ["zone"]
+    bucket = F.when(F.col("has_key"), F.bitmap_bucket_number("hour"))
+    one = marked.groupBy(*by, bucket.alias("bucket")).agg(
+        F.count_if("has_key").alias("rows"), F.count_if(F.col("has_key") & F.col("off")).alias("off_hour"), F.count_if(~F.col("has_key")).alias("without"),
+        F.bitmap_count(F.bitmap_construct_agg(F.when(F.col("has_key"), F.bitmap_bit_position("hour")))).alias("hours"))
+    total = one.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("rows", "hours", "off_hour", "without")])
+    return total.select(*[F.col(f"part_{i}").alias(p) for i, p in enumerate(parts)], F.col("zone").alias(zone), "rows", "hours", "off_hour", "without")
+
+
+def key_by_part(df: DataFrame, table: str, column: str, zone: str, ts: str, parts: list[str], others: dict[str, str] | None = None,
+                severity: str = "error") -> DataFrame:
+    """The checks of ``key`` for a table of hours that is written in parts of whole years: ``column`` is made of the zone
+    and the hour, so it is unique if no part has more rows than hours, and no exchange is by key (F1, F2).
+
+    Failing rows of ``unique`` are those beyond the first of their key, and rows whose time isn't a whole hour.
+    """
+    others = others or {}
+    by_part = hours_by_part(df, zone, ts, parts).agg((F.sum("rows") - F.sum("hours") + F.sum("off_hour")).alias("twice"))
+    nulls = df.agg(F.count_if(F.col(column).isNull()).alias("nulls"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(others)])
+    return _stacked(by_part, [("unique", table, column, severity, "twice")]).unionByName(
+        _stacked(nulls, [("not_null", table, column, severity, "nulls"), *[("not_null", table, c, sev, f"n{i}") for i, (c, sev) in enumerate(others.items())]]))
+
+
 def relationship(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str,
                  severity: str = "error", parent_rows: int | None = None) -> DataFrame:
     """Child rows whose non-NULL key is missing from the parent."""
@@ -176,6 +210,11 @@ def unparsable(counts: DataFrame, table: str, severity: str = "warn") -> DataFra
     return _stacked(counts.select(total.alias("n")), [("unparsable_cells", table, None, severity, "n")])
 
 
+def counted(spark: SparkSession, check: str, table: str, failing: int, severity: str = "warn") -> DataFrame:
+    """A report row of a count that is known already, such as one that was observed during a write."""
+    return spark.createDataFrame([(check, table, None, severity, failing, failing == 0)], REPORT)
+
+
 class QualityError(ValueError):
     """A check of severity ``error`` has failed."""
 

@@ -134,6 +134,22 @@ def _profile(f: Frames) -> DataFrame:
     return f.profile
 
 
+@register("price_profile_incremental", _sel("profile", ["country", "month", "weekday", "hour", "avg_price_baseline",
+                                                        "stddev_price_baseline", "sample_size"],
+                                            {"avg_price_baseline", "stddev_price_baseline"}))
+def _profile_incremental(f: Frames) -> DataFrame:
+    """The profile merged from the moments of single days."""
+    from gridlake.operators import baselines
+    return baselines.profile(baselines.moments(f.silver, by_day=True))
+
+
+@register("month_hour_incremental", _sel("mh_base", ["country_code", "month", "hour", "hist_mean", "hist_std"], {"hist_mean", "hist_std"}))
+def _month_hour_incremental(f: Frames) -> DataFrame:
+    """The month-hour baseline merged from the moments of single days and weekdays."""
+    from gridlake.operators import baselines
+    return baselines.month_hour(baselines.moments(f.silver, by_day=True))
+
+
 # ----------------------------------------------------------------------------- gold
 STG_COLS = ["energy_event_id", "event_time", "country_code", "price_eur_mwh", "load_mw", "solar_mw", "wind_mw",
             "residual_load_mw", "volatility_24h", "ramp_rate_pct", "is_extreme_ramp", "is_dunkelflaute", "year",
@@ -408,6 +424,18 @@ def _dq_report(f: Frames) -> DataFrame:
     return dq.report(checks)
 
 
+@register("hours_by_part", O.with_ctes("fct") + """
+SELECT country_code, year, count(*) FILTER (WHERE event_time IS NOT NULL AND country_code IS NOT NULL) AS rows,
+       count(DISTINCT date_trunc('hour', event_time)) FILTER (WHERE country_code IS NOT NULL) AS hours,
+       count(*) FILTER (WHERE event_time <> date_trunc('hour', event_time) AND country_code IS NOT NULL) AS off_hour,
+       count(*) FILTER (WHERE event_time IS NULL OR country_code IS NULL) AS without
+FROM fct GROUP BY country_code, year""")
+def _hours_by_part(f: Frames) -> DataFrame:
+    """Rows and hours of each zone and year: equal where the key of the hourly fact is unique."""
+    from gridlake.operators import quality as dq
+    return dq.hours_by_part(f.fct_energy_hourly, "country_code", "event_time", ["year"])
+
+
 @register("zone_set_diff", O.with_ctes("bronze", "dim_country") + """
 SELECT zone, 'unexpected' AS status FROM (SELECT DISTINCT country AS zone FROM bronze WHERE country IS NOT NULL) a
 WHERE NOT EXISTS (SELECT 1 FROM dim_country c WHERE c.country_code = a.zone)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from gridlake import schemas
 from gridlake.operators import bronze as bronze_ops
@@ -44,17 +44,20 @@ class LakePaths:
         return f"{self.root}/realtime/market_monitor"
 
 
-def ingest(spark: SparkSession, csv_path: str, paths: LakePaths) -> list[str]:
-    """Wide CSV -> bronze (C1–C9, B1). Returns the zones discovered in the header."""
-    wide = wide_csv.read_wide(spark, csv_path)
-    zones = wide_csv.discover_zones(wide.columns)
-    writers.write_bronze(bronze_ops.to_long(wide, zones), paths.bronze)
-    return zones
+def ingest(spark: SparkSession, csv_path: str, paths: LakePaths) -> tuple[list[str], int]:
+    """Wide CSV -> bronze (C1–C9, B1): one file, or a folder of files with headers of their own (A1).
 
-
-def check_wide(spark: SparkSession, csv_path: str):
-    """Report row for cells of the wide file that are text but no number (S4): bronze has them as missing."""
-    return quality.unparsable(bronze_ops.unparsable_cells(wide_csv.read_wide(spark, csv_path)), "wide")
+    Returns the zones of the headers and the number of cells that are text but no number (S4): bronze has them as
+    missing. They are counted while bronze is written, so the files are scanned once.
+    """
+    seen = Observation()
+    if wide_csv.is_folder(spark, csv_path):
+        wides = wide_csv.read_wide_all(spark, csv_path)
+    else:
+        wide = wide_csv.read_wide(spark, csv_path)
+        wides = [(wide_csv.discover_zones(wide.columns), wide)]
+    writers.write_bronze(bronze_ops.to_long_all(wides, seen), paths.bronze)
+    return sorted({z for zones, _ in wides for z in zones}), seen.get["unparsable_cells"]
 
 
 def build_silver(spark: SparkSession, paths: LakePaths, **feature_options) -> None:
@@ -113,12 +116,12 @@ def check_gold(spark: SparkSession, paths: LakePaths, target_zones: list[str] |
     stg = gold.stg_energy(lake.read_silver_features(spark, paths.features))
     stats = gold.stg_price_stats(lake.read_price_profile(spark, paths.profile))
     checks = [
-        quality.key(stg, "stg_energy", "energy_event_id", {"price_eur_mwh": "warn"}),
+        quality.key_by_part(stg, "stg_energy", "energy_event_id", "country_code", "event_time", ["year"], {"price_eur_mwh": "warn"}),
         quality.not_null(stats, "stg_price_stats", ["country_code"]),
         quality.key(countries, "dim_country", "country_code"),
         quality.key(dates, "dim_date", "time_key"),
         quality.key(metrics, "dim_energy_metrics", "metric_code"),
-        quality.key(fact, "fct_energy_hourly", "energy_event_id"),
+        quality.key_by_part(fact, "fct_energy_hourly", "energy_event_id", "country_code", "event_time", ["year"]),
         quality.not_null(g("fct_price_baselines"), "fct_price_baselines", ["country_code", "avg_price_baseline"]),
         quality.not_null(g("mrt_price_anomaly_detection"), "mrt_price_anomaly_detection", ["price_z_score"], "warn"),
         quality.relationship(fact, "fct_energy_hourly", "country_code", countries, "country_code",
@@ -136,10 +139,10 @@ def run(spark: SparkSession, csv_path: str, root: str, seed_dir: str | None = No
     is written.
     """
     paths = LakePaths(root.rstrip("/"))
-    zones = ingest(spark, csv_path, paths)
+    zones, unparsable = ingest(spark, csv_path, paths)
     build_silver(spark, paths, **feature_options)
     build_gold(spark, paths, zones=len(zones), seed_dir=seed_dir)
-    report = quality.report([check_gold(spark, paths, zones), check_wide(spark, csv_path)])
+    report = quality.report([check_gold(spark, paths, zones), quality.counted(spark, "unparsable_cells", "wide", unparsable)])
     writers.write_report(report, f"{paths.root}/quality_report")
     written = spark.read.parquet(f"{paths.root}/quality_report")
     return quality.gate(written) if gate else written

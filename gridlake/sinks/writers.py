@@ -8,19 +8,46 @@ columns, so each task keeps one open file at a time.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridlake.operators import quality
+from gridlake.sources.files import Folder
 
 
 def _partitioned(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *cols).sortWithinPartitions(*cols)
 
 
+def _month(year, month):
+    """A number for a month; its bit in a bitmap is one less, and a bitmap holds 2,700 years."""
+    return (F.col(year).cast("int") * 12 + F.col(month).cast("int")).cast("long")
+
+
 def write_bronze(bronze: DataFrame, root: str) -> None:
-    """B1: Parquet partitioned by year/month, replacing what was there."""
-    _partitioned(bronze, ["year", "month"]).write.mode("overwrite").partitionBy("year", "month").parquet(root)
+    """B1: Parquet partitioned by year/month, replacing what was there.
+
+    Rows go to a staging folder; months are exchanged when all tasks are done, so a run that fails midway leaves the
+    former rows as they were. Months that the new rows don't have go last: which ones they have is observed during the
+    write, as one bit a month.
+    """
+    folder, seen = Folder(bronze.sparkSession, root), Observation()
+    before = {(y, m) for y in folder.folders() if y.startswith("year=") for m in folder.folders(y) if m.startswith("month=")}
+    months = F.bitmap_construct_agg(F.bitmap_bit_position(_month("year", "month")))
+    parts = _partitioned(bronze.observe(seen, months.alias("months"), F.count_if(F.col("year").isNull() | F.col("month").isNull()).alias("without")), ["year", "month"])
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(root)
+    found = seen.get if before else {}
+
+    def has_rows(year: str, month: str) -> bool:
+        year, month = year.partition("=")[2], month.partition("=")[2]
+        if not year.isdigit() or not month.isdigit():  # the partition of rows without a time
+            return found["without"] > 0
+        at = (int(year) * 12 + int(month) - 1) % (8 * len(found["months"]))
+        return found["months"][at // 8] >> at % 8 & 1 == 1
+
+    for name in sorted(before):
+        if not has_rows(*name):
+            folder.delete(*name)
 
 
 def write_silver_features(features: DataFrame, root: str) -> None:

@@ -13,11 +13,14 @@ class Folder:
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def at(self, *names: str) -> str:
-        return "/".join([self.path, *names])
+        return "/".join([self.path, *names]) if self.path else "/"
 
     def exists(self, *names: str) -> bool:
         return self._fs.exists(self._path(self.at(*names)))
 
+    def is_folder(self) -> bool:
+        return self.exists() and self._fs.getFileStatus(self._path(self.path)).isDirectory()
+
     def folders(self, *names: str) -> list[str]:
         """Names of the folders below, sorted; none where there is no such folder."""
         if not self.exists(*names):

@@ -6,6 +6,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.sources.files import Folder
+
 TIMESTAMP_COLUMN = "utc_timestamp"
 PRICE_SUFFIX = "_price_day_ahead"
 # Text that means "no measurement" in the wide files (plus the empty cell).
@@ -59,3 +61,37 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
     keep = [TIMESTAMP_COLUMN] + zone_columns(cols, zones)
     raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
     return raw.select(*keep)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return Folder(spark, path).is_folder()
+
+
+def files_by_header(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[list[str]]:
+    """The files of a folder, those with the same header line together, in the order of their names (A1).
+
+    Only first lines are read, one file after another.
+    """
+    found = Folder(spark, folder)
+    groups: dict[str, list[str]] = {}
+    for path in found.data_files(suffix):
+        groups.setdefault(found.first_line(path).strip(), []).append(path)
+    return list(groups.values())
+
+
+def read_wide_all(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[tuple[list[str], DataFrame]]:
+    """A folder of wide files whose columns differ in order and number: (zones, frame) for each different header.
+
+    Columns are matched by name within their own header, and each header decides its own zones, as if its files were read
+    alone; a header without a price column is an error, as it is for a single file. Files of one header are one scan, so
+    the plan grows with the number of different headers, not of files.
+    """
+    groups = files_by_header(spark, folder, suffix)
+    if not groups:
+        raise NoPriceColumnsError(f"No price columns found: no {suffix} files in {folder}")
+    out = []
+    for paths in groups:
+        raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(paths)
+        zones = discover_zones(raw.columns)
+        out.append((zones, raw.select(TIMESTAMP_COLUMN, *zone_columns(raw.columns, zones))))
+    return out
