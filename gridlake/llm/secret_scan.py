@@ -39,22 +39,48 @@ RANDOM_STRINGS = 4000
 THRESHOLD = 0.25
 
 
+_SPANS = "array<struct<start:int,end:int,rank:int,kind:string>>"
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: an expression that is named twice is computed twice."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _chunked(items: Column) -> Column:
+    """An array as chunks of about as many items as there are chunks, so that a running sum costs little more than its items."""
+    side = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
+    return _let(side, lambda n: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / n).cast("int") - 1, F.lit(0))), lambda k: F.slice(items, k * n + 1, n)))
+
+
+def _running(chunks: Column, first: Column, fold, start) -> Column:
+    """The value that each chunk begins with: ``fold`` is a chunk's own value, ``start`` joins it to the one before."""
+    begin = F.aggregate(F.transform(chunks, fold), F.array(first), lambda acc, x: F.concat(acc, F.array(start(F.element_at(acc, -1), x))))
+    return F.slice(begin, F.lit(1), F.size(chunks))
+
+
+def _along(items: Column, first: Column, fold, start, inside) -> Column:
+    """``inside(chunk, value that it begins with)``, an array, for all chunks of ``items``, one after another."""
+    whole = lambda chunks: F.flatten(F.zip_with(chunks, _running(chunks, first, fold, start), inside))
+    return _let(items, lambda all_items: _let(_chunked(all_items), whole))
+
+
 def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
-    """Array of (start, end, kind order, kind) of the matches of ``pattern``; ``keep`` tests a match."""
+    """Array of (start, end, rank, kind) of the matches of ``pattern``; ``keep`` tests a match. A match starts after all
+    pieces and matches before it: their lengths are summed chunk by chunk, then within each chunk."""
     pieces = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>").alias("spans"))
+    kept = keep if keep is not None else lambda m: F.lit(True)
+    one = lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), kept(m).alias("kept"))
+    both = _let(matches, lambda found: F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, one))
 
     def step(acc, x):
-        start = acc["at"] + F.length(x["piece"])
-        end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"))
-        kept = keep(x["match"]) if keep is not None else F.lit(True)
-        return F.struct(end.alias("at"), F.when(kept, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+        return _let(acc["at"] + x["gap"], lambda start: _let(start + x["size"], lambda end: F.struct(end.alias("at"), F.when(x["kept"], F.concat(acc["spans"], F.array(
+            F.struct(start.alias("start"), end.alias("end"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"))))).otherwise(acc["spans"]).alias("spans"))))
 
-    both = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    found = F.aggregate(both, state, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>"))
+    inside = lambda c, at: F.aggregate(c, F.struct(at.alias("at"), F.array().cast(_SPANS).alias("spans")), step, lambda acc: acc["spans"])
+    found = _along(both, F.lit(0), lambda c: F.aggregate(c, F.lit(0), lambda acc, x: acc + x["gap"] + x["size"]), lambda before, own: before + own, inside)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
 
 
 def _value_is_long(match: Column) -> Column:
@@ -107,13 +133,13 @@ def train(docs: DataFrame, text: str, sample_docs: int = SAMPLE_DOCS) -> list[fl
 
 
 def mean_ratio(run: Column, table: list[float]) -> Column:
-    """Mean log-ratio per step of a run of the alphabet."""
+    """Mean log-ratio per step of a run of the alphabet; its characters are looked up once each."""
     n = len(ALPHABET)
-    # the table as one string literal: a plan with thousands of literals is slow to analyse
-    values = F.transform(F.split(F.lit(",".join(map(str, table))), ","), lambda x: x.cast("double"))
-    index = lambda k: F.instr(F.lit(ALPHABET), F.substring(run, k, F.lit(1))) - 1
-    total = F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), F.lit(0.0), lambda acc, k: acc + F.element_at(values, index(k) * n + index(k + 1) + 1))
-    return total / (F.length(run) - 1)
+    # one string literal, which the optimizer turns into one array: a plan with thousands of literals is slow to analyse
+    values = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
+    places = F.transform(F.slice(F.split(run, ""), F.lit(1), F.length(run)), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    steps = lambda at: F.zip_with(F.slice(at, F.lit(1), F.size(at) - 1), F.slice(at, F.lit(2), F.size(at) - 1), lambda a, b: F.element_at(values, a * n + b + 1))
+    return F.aggregate(_let(places, steps), F.lit(0.0), lambda acc, x: acc + x) / (F.length(run) - 1)
 
 
 def _mixed(run: Column) -> Column:
@@ -149,17 +175,25 @@ def redact(df: DataFrame, text: str, table: list[float], n_chars: str) -> DataFr
     found = free_name(df, "spans")
     t = F.col(f"`{text}`")
     held = df.withColumn(found, spans(t, table)[1])
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        ahead = s["end"] > acc["at"]
-        apart = (s["start"] > acc["at"]) | (acc["at"] == 0)
-        mark = F.when(apart, F.lit("<secret>")).otherwise("")
-        lead = F.when(s["start"] > acc["at"], F.substring(t, acc["at"] + 1, s["start"] - acc["at"])).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(ahead, F.concat(acc["out"], lead, mark)).otherwise(acc["out"]).alias("out"))
-
-    rest = lambda acc: F.substring(t, acc["at"] + 1, F.greatest(F.length(t) - acc["at"], F.lit(0)))
-    cleaned = F.aggregate(F.col(found), state, step, lambda acc: F.concat(acc["out"], rest(acc)))
+    ends = lambda c: F.array_max(F.transform(c, lambda s: s["end"]))
+
+    def marked(chunk, at):
+        """The text from ``at`` to the last end of the chunk with marks; each span is cut out of that part, not of the whole."""
+        def step(part):
+            def run(acc, s):
+                ahead = s["end"] > acc["at"]
+                apart = (s["start"] > acc["at"]) | (acc["at"] == 0)
+                lead = F.when(s["start"] > acc["at"], F.substring(part, acc["at"] - at + 1, s["start"] - acc["at"])).otherwise("")
+                piece = F.when(ahead, F.concat(lead, F.when(apart, F.lit("<secret>")).otherwise(""))).otherwise("")
+                return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(piece)).alias("out"))
+            return run
+
+        start = F.struct(at.alias("at"), F.array().cast("array<string>").alias("out"))
+        return _let(F.substring(t, at + 1, F.greatest(ends(chunk) - at, F.lit(0))), lambda part: F.aggregate(chunk, start, step(part), lambda acc: acc["out"]))
+
+    pieces = _along(F.col(found), F.lit(0), ends, lambda before, own: F.greatest(before, own), marked)
+    rest = _let(ends(F.col(found)), lambda end: F.substring(t, end + 1, F.greatest(F.length(t) - end, F.lit(0))))
+    cleaned = F.concat(F.array_join(pieces, ""), rest)
     held = held.withColumn(text, F.when(F.size(found) > 0, cleaned).otherwise(t))
     kind = df.schema[n_chars].dataType
     return held.withColumn(n_chars, F.when(F.size(found) > 0, F.length(t)).otherwise(F.col(f"`{n_chars}`")).cast(kind)).drop(found)
