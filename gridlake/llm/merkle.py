@@ -4,7 +4,7 @@ A row is a leaf: the digest of its fields. The leaves of a source, by key, are r
 is left, the subroot; the subroots, by source, are reduced alike to the root. A row's proof are the siblings on its way
 to the root; folding a leaf with its proof gives the root again, unless the leaf was changed.
 
-Cogrouped subtree exchange: ``SUPER`` consecutive nodes are a superblock, which reduces to one node by itself, in
+Cogrouped subtree exchange: ``RUN ** LEVELS`` consecutive nodes are a superblock, which reduces to one node by itself, in
 ``LEVELS`` levels. On the way up each superblock sends its top, and the tops of a tree are the nodes of the next level of
 superblocks, until one is left. On the way down the nodes of a superblock meet the outer nodes that they need (the
 siblings above its top, which the level above has found) in one cogroup: there the local reduction is finished, the
@@ -35,7 +35,6 @@ from gridlake.llm._session import documents, prepare, written
 
 #: Consecutive nodes that become one, and levels that a superblock reduces by itself.
 RUN, LEVELS = 16, 3
-SUPER = RUN**LEVELS
 #: Sorted pieces (one for each source in each task) whose places are broadcast, at most.
 BROADCAST_PIECES = 1 << 17
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -107,33 +106,14 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return placed.join(starts, "piece").select("tid", (F.col("start") + F.col("place")).alias("pos"), "n", *rows.columns)
 
 
-def _dealt(nodes: DataFrame, total: int) -> DataFrame:
+def _dealt(nodes: DataFrame, total: int, size: int) -> DataFrame:
     """The group that a node's superblock is worked on in: its own one, or a bundle of trees of one superblock each."""
-    bundles = max(1, -(-total // SUPER))
-    small = F.col("n") <= SUPER
-    sb = F.col("sb") if "sb" in nodes.columns else F.expr(f"pos div {SUPER}")
+    bundles = max(1, -(-total // size))
+    small = F.col("n") <= size
+    sb = F.col("sb") if "sb" in nodes.columns else F.expr(f"pos div {size}")
     return nodes.withColumn("of", F.when(small, -1 - F.pmod(F.xxhash64("tid"), F.lit(bundles))).otherwise(F.col("tid"))).withColumn("super", F.when(small, 0).otherwise(sb).cast("long"))
 
 
-def _trees(group: pd.DataFrame):
-    """The superblocks of a group: their rows, by place."""
-    group = group.sort_values(["tid", "pos"], kind="stable")
-    tid, sb = group["tid"].to_numpy(), group["pos"].to_numpy() // SUPER
-    cuts = np.flatnonzero(np.append(True, (tid[1:] != tid[:-1]) | (sb[1:] != sb[:-1]))) if len(group) else []
-    for lo, hi in zip(cuts, [*cuts[1:], len(group)]):
-        yield int(tid[lo]), int(sb[lo]), group.iloc[lo:hi]
-
-
-def _tops(group: pd.DataFrame) -> pd.DataFrame:
-    """Up: the top of each superblock, a node of the next level."""
-    out = []
-    for tid, sb, rows in _trees(group):
-        n = int(rows["n"].iloc[0])
-        nodes = _reduced(rows["digest"].tolist(), min(LEVELS, height(n)))
-        out.append((tid, sb, -(-n // SUPER), nodes[-1][0]))
-    return pd.DataFrame(out, columns=["tid", "pos", "n", "digest"])
-
-
 _TOPS = "tid long, pos long, n long, digest string"
 _OUTER = "tid long, sb long, n long, left array<string>, right array<string>, subroot string, root string"
 _FOLDED = "key string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
@@ -153,90 +133,107 @@ def _joined(nodes: list[list[str]], outer):
         yield lefts + left, rights + right
 
 
-def _met(group: pd.DataFrame, outer: pd.DataFrame):
-    known = {(t, s): row for t, s, row in zip(outer["tid"], outer["sb"], outer.to_dict("records"))}
-    for tid, sb, rows in _trees(group):
-        nodes = _reduced(rows["digest"].tolist(), min(LEVELS, height(int(rows["n"].iloc[0]))))
-        yield rows, known[tid, sb], _joined(nodes, known[tid, sb])
+class Superblocks:
+    """Superblocks of ``levels`` levels: what tasks do with them, and the way up and down."""
 
+    def __init__(self, levels: int = LEVELS):
+        self.levels, self.size = levels, RUN**levels
 
-def _down(subroots: bool):
-    def run(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+    def _trees(self, group: pd.DataFrame):
+        """The superblocks of a group: their rows by place, and their nodes level by level."""
+        group = group.sort_values(["tid", "pos"], kind="stable")
+        tid, sb = group["tid"].to_numpy(), group["pos"].to_numpy() // self.size
+        cuts = np.flatnonzero(np.append(True, (tid[1:] != tid[:-1]) | (sb[1:] != sb[:-1]))) if len(group) else []
+        for lo, hi in zip(cuts, [*cuts[1:], len(group)]):
+            rows = group.iloc[lo:hi]
+            yield int(tid[lo]), int(sb[lo]), rows, _reduced(rows["digest"].tolist(), min(self.levels, height(int(rows["n"].iloc[0]))))
+
+    def tops(self, group: pd.DataFrame) -> pd.DataFrame:
+        """Up: the top of each superblock, a node of the next level."""
+        out = [(tid, sb, -(-int(rows["n"].iloc[0]) // self.size), nodes[-1][0]) for tid, sb, rows, nodes in self._trees(group)]
+        return pd.DataFrame(out, columns=["tid", "pos", "n", "digest"])
+
+    def _met(self, group: pd.DataFrame, outer: pd.DataFrame):
+        known = {(t, s): row for t, s, row in zip(outer["tid"], outer["sb"], outer.to_dict("records"))}
+        for tid, sb, rows, nodes in self._trees(group):
+            yield rows, known[tid, sb], _joined(nodes, known[tid, sb])
+
+    def down(self, nodes: pd.DataFrame, outer: pd.DataFrame, subroots: bool) -> pd.DataFrame:
         """Down, above the leaves: the outer siblings of the superblocks (or trees) whose tops these nodes are."""
         out = []
-        for rows, above, paths in _met(nodes, outer):
+        for rows, above, paths in self._met(nodes, outer):
             for to, sb, n, own, (left, right) in zip(rows["to"], rows["to_sb"], rows["to_n"], rows["digest"], paths):
                 out.append((to, sb, n, left, right, own if subroots else above["subroot"], above["root"]))
         return pd.DataFrame(out, columns=[x.split()[0] for x in _OUTER.split(", ")])
-    return run
-
-
-def _folded(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    """Down, at the leaves: proofs, and what each leaf (changed, where it was) folds to."""
-    out = []
-    for rows, above, paths in _met(nodes, outer):
-        for key, own, changed, (left, right) in zip(rows["key"], rows["digest"], rows["changed"], paths):
-            proof, node = hashlib.sha256(), changed if isinstance(changed, str) else own
-            for a, b in zip(left, right):
-                proof.update((a + b).encode())
-                node = _digest(a + node + b)
-            out.append((key, own, above["subroot"], above["root"], proof.hexdigest(), node))
-    return pd.DataFrame(out, columns=[x.split()[0] for x in _FOLDED.split(", ")])
-
-
-def _levels(nodes: DataFrame) -> tuple[list[tuple[DataFrame, int]], DataFrame | None]:
-    """Up: the levels of nodes with their numbers of rows, and the tops of trees, one row (tid, digest) each."""
-    levels, done = [], None
-    total = nodes.count()
-    while total:
-        levels.append((nodes, total))
-        tops = written(_dealt(nodes.select("tid", "pos", "n", "digest"), total).groupBy("of", "super").applyInPandas(_tops, _TOPS), "tops")
-        ended = tops.filter("n = 1").select("tid", "digest")
-        done = ended if done is None else done.union(ended)
-        nodes = tops.filter("n > 1")
-        total = nodes.count()
-    return levels, done
 
-
-def _cogrouped(nodes: DataFrame, total: int, outer: DataFrame, work, schema: str) -> DataFrame:
-    return _dealt(nodes, total).groupBy("of", "super").cogroup(_dealt(outer, total).groupBy("of", "super")).applyInPandas(work, schema)
-
-
-def _outer(levels: list[tuple[DataFrame, int]], outer: DataFrame) -> DataFrame:
-    """Down, from the outer siblings of whole trees to those of the superblocks of the lowest level."""
-    for (nodes, total), (below, _) in zip(levels[:0:-1], levels[-2::-1]):
-        # a node of this level is the top of the superblock with its number in the level below
-        sizes = below.groupBy("tid").agg(F.max("n").alias("to_n"))
-        named = nodes.join(sizes, "tid").select("tid", "pos", "n", "digest", F.col("tid").alias("to"), F.col("pos").alias("to_sb"), "to_n")
-        single = outer.join(nodes.select("tid").distinct(), "tid", "left_anti")  # trees that end below
-        here = outer.join(nodes.groupBy("tid").agg(F.max("n").alias("own_n")), "tid").select("tid", "sb", F.col("own_n").alias("n"), "left", "right", "subroot", "root")
-        outer = written(single.union(_cogrouped(named, total, here, _down(False), _OUTER)), "outer")
-    return outer
-
-
-def proofs(rows: DataFrame) -> DataFrame:
+    def folded(self, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        """Down, at the leaves: proofs, and what each leaf (changed, where it was) folds to."""
+        out = []
+        for rows, above, paths in self._met(nodes, outer):
+            for key, own, changed, (left, right) in zip(rows["key"], rows["digest"], rows["changed"], paths):
+                proof, node = hashlib.sha256(), changed if isinstance(changed, str) else own
+                for a, b in zip(left, right):
+                    proof.update((a + b).encode())
+                    node = _digest(a + node + b)
+                out.append((key, own, above["subroot"], above["root"], proof.hexdigest(), node))
+        return pd.DataFrame(out, columns=[x.split()[0] for x in _FOLDED.split(", ")])
+
+    def up(self, nodes: DataFrame) -> tuple[list[tuple[DataFrame, int]], DataFrame | None]:
+        """The levels of nodes with their numbers of rows, and the tops of trees, one row (tid, digest) each."""
+        levels, done = [], None
+        total = nodes.count()
+        while total:
+            levels.append((nodes, total))
+            dealt = _dealt(nodes.select("tid", "pos", "n", "digest"), total, self.size)
+            tops = written(dealt.groupBy("of", "super").applyInPandas(lambda group: self.tops(group), _TOPS), "tops")
+            ended = tops.filter("n = 1").select("tid", "digest")
+            done = ended if done is None else done.union(ended)
+            nodes = tops.filter("n > 1")
+            total = nodes.count()
+        return levels, done
+
+    def cogrouped(self, nodes: DataFrame, total: int, outer: DataFrame, work, schema: str) -> DataFrame:
+        """Nodes and the outer siblings of their superblocks, cogrouped by superblock."""
+        sides = [_dealt(side, total, self.size).groupBy("of", "super") for side in (nodes, outer)]
+        return sides[0].cogroup(sides[1]).applyInPandas(work, schema)
+
+    def outer(self, levels: list[tuple[DataFrame, int]], outer: DataFrame) -> DataFrame:
+        """Down, from the outer siblings of whole trees to those of the superblocks of the lowest level."""
+        for (nodes, total), (below, _) in zip(levels[:0:-1], levels[-2::-1]):
+            # a node of this level is the top of the superblock with its number in the level below
+            sizes = below.groupBy("tid").agg(F.max("n").alias("to_n"))
+            named = nodes.join(sizes, "tid").select("tid", "pos", "n", "digest", F.col("tid").alias("to"), F.col("pos").alias("to_sb"), "to_n")
+            single = outer.join(nodes.select("tid").distinct(), "tid", "left_anti")  # trees that end below
+            here = outer.join(nodes.groupBy("tid").agg(F.max("n").alias("own_n")), "tid").select("tid", "sb", F.col("own_n").alias("n"), "left", "right", "subroot", "root")
+            outer = written(single.union(self.cogrouped(named, total, here, lambda group, above: self.down(group, above, False), _OUTER)), "outer")
+        return outer
+
+
+def proofs(rows: DataFrame, levels: int = LEVELS) -> DataFrame:
     """For rows (tree, key, digest, changed), leaves: key, leaf, subroot, root, proof_sha256, folded_root (from
     ``changed`` where it isn't null)."""
-    spark = prepare(rows.sparkSession)
+    spark, blocks = prepare(rows.sparkSession), Superblocks(levels)
     leaves = written(numbered(rows, ["key", "digest"]), "leaves")
-    levels, subroots = _levels(leaves)
-    if not levels:
+    lower, subroots = blocks.up(leaves)
+    if not lower:
         return spark.createDataFrame([], _FOLDED).withColumn("key", F.col("key").cast("long"))
     trees = leaves.groupBy("tid").agg(F.min("tree").alias("name"), F.max("n").alias("to_n"))
     # the tree of trees: its leaves are the subroots, in the order of their sources
     ends = subroots.join(trees, "tid").select(F.lit("").alias("tree"), "name", F.col("tid").alias("to"), F.lit(0).cast("long").alias("to_sb"), "to_n", "digest")
     tops = written(numbered(ends, ["name"]), "subroots")
-    upper, root = _levels(tops)
+    upper, root = blocks.up(tops)
     none = F.array().cast("array<string>")
-    whole = lambda of: of.groupBy("tid").agg(F.max("n").alias("n"))
-    outer = root.join(whole(tops), "tid").select("tid", F.lit(0).cast("long").alias("sb"), "n", none.alias("left"), none.alias("right"), F.lit(None).cast("string").alias("subroot"), F.col("digest").alias("root"))
-    outer = written(_cogrouped(tops.drop("tree", "name"), upper[0][1], _outer(upper, outer), _down(True), _OUTER), "outer")
+    size = tops.groupBy("tid").agg(F.max("n").alias("n"))
+    outer = root.join(size, "tid").select("tid", F.lit(0).cast("long").alias("sb"), "n", none.alias("left"), none.alias("right"), F.lit(None).cast("string").alias("subroot"), F.col("digest").alias("root"))
+    outer = written(blocks.cogrouped(tops.drop("tree", "name"), upper[0][1], blocks.outer(upper, outer), lambda group, above: blocks.down(group, above, True), _OUTER), "outer")
     # keys travel as text: pandas would turn integers with nulls into doubles
     named = leaves.drop("tree").withColumn("key", F.col("key").cast("string"))
-    return _cogrouped(named, levels[0][1], _outer(levels, outer), _folded, _FOLDED).withColumn("key", F.col("key").cast("long"))
+    found = blocks.cogrouped(named, lower[0][1], blocks.outer(lower, outer), lambda group, above: blocks.folded(group, above), _FOLDED)
+    return found.withColumn("key", F.col("key").cast("long"))
 
 
-def manifest(docs: DataFrame, group: str, key: str, fields: list[str], changes: dict[str, Column] | None = None, where: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, group: str, key: str, fields: list[str], changes: dict[str, Column] | None = None, where: Column | None = None,
+             levels: int = LEVELS) -> DataFrame:
     """Proofs of all rows of ``docs``: trees by ``group``, leaves of ``fields`` by ``key`` (an integer). ``changes`` gives
     other values of fields, ``where`` the rows that have them when their leaves are folded."""
     own = [F.col(f"`{f}`") for f in fields]
@@ -244,14 +241,14 @@ def manifest(docs: DataFrame, group: str, key: str, fields: list[str], changes:
     if changes:
         other = F.when(F.lit(True) if where is None else where, leaf([changes.get(f, F.col(f"`{f}`")) for f in fields]))
     rows = docs.select(F.col(f"`{group}`").cast("string").alias("tree"), F.col(f"`{key}`").cast("long").alias("key"), leaf(own).alias("digest"), other.alias("changed"))
-    return proofs(written(rows, "digests"))
+    return proofs(written(rows, "digests"), levels)
 
 
-def op13_merkle_manifest(spark, sf_dir: str) -> DataFrame:
+def op13_merkle_manifest(spark, sf_dir: str, levels: int = LEVELS) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
     docs = documents(spark, sf_dir).select(*FIELDS)
     picked = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(CHANGED)) == 0
-    found = manifest(docs, "source", "doc_id", list(FIELDS), {"text": F.translate("text", _UPPER, _LOWER)}, picked)
+    found = manifest(docs, "source", "doc_id", list(FIELDS), {"text": F.translate("text", _UPPER, _LOWER)}, picked, levels)
     return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
