@@ -33,11 +33,23 @@ BRONZE_READ = T.StructType(
     ]
 )
 
-SILVER_FEATURE_COLUMNS = [
-    "timestamp", "country", "load", "price", "solar", "wind", "renewable_gen", "residual_load",
-    "is_window_valid", "prev_load", "load_diff", "ramp_rate_pct", "is_extreme_ramp", "volatility_24h",
-    "renewable_share", "max_share_last_24h", "is_dunkelflaute", "year", "month", "day", "weekday", "hour",
-]
+def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
+    return [T.StructField(n, kind, True) for n in names]
+
+
+# Silver features, in the order of the contract; country and year come back from the partition paths.
+SILVER_FEATURES = T.StructType(
+    _fields(T.TimestampNTZType(), "timestamp")
+    + _fields(T.StringType(), "country")
+    + _fields(T.DoubleType(), "load", "price", "solar", "wind", "renewable_gen", "residual_load")
+    + _fields(T.BooleanType(), "is_window_valid")
+    + _fields(T.DoubleType(), "prev_load", "load_diff", "ramp_rate_pct")
+    + _fields(T.BooleanType(), "is_extreme_ramp")
+    + _fields(T.DoubleType(), "volatility_24h", "renewable_share", "max_share_last_24h")
+    + _fields(T.BooleanType(), "is_dunkelflaute")
+    + _fields(T.IntegerType(), "year", "month", "day", "weekday", "hour")
+)
+SILVER_FEATURE_COLUMNS = SILVER_FEATURES.names
 
 PRICE_PROFILE = T.StructType(
     [

@@ -18,8 +18,8 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_silver_features(spark: SparkSession, root: str) -> DataFrame:
-    """Silver features, partitioned by country/year (partition pruning on both)."""
-    return spark.read.option("basePath", root).parquet(root)
+    """Silver features, partitioned by country/year (partition pruning on both), by their fixed schema."""
+    return spark.read.schema(schemas.SILVER_FEATURES).option("basePath", root).parquet(root)
 
 
 def read_price_profile(spark: SparkSession, root: str) -> DataFrame:
