@@ -1,7 +1,8 @@
 """Embedding near-deduplication: a forest of random-projection trees with spill.
 
 A tree splits the vectors by recursive random cuts: a random direction (the difference of two random vectors of the
-node's sample), a cut at the median projection, and a spill: vectors near the cut go to both sides. Trees are fitted
+node's sample), a cut at the median projection, and a spill: vectors near the cut go to both sides (fewer on each level
+further down, so that the leaves of a vector don't grow with the depth of the trees). Trees are fitted
 on a bounded sample (``SAMPLE`` vectors with the least hashes), every vector goes down every tree. Leaves that hold more
 than ``LEAF`` vectors are split again, by trees fitted on a bounded sample of each such leaf, until none is too large or
 splitting gains nothing. Within a leaf all pairs are compared by cosine in double precision.
@@ -41,8 +42,9 @@ COSINE = 0.9
 TREES = 16
 SAMPLE = 20_000
 LEAF = 1024
-#: Share of a node's sample within the spill on each side of the cut.
-SPILL = 0.12
+#: Share of a node's sample within the spill on each side of the cut, and what is left of it from a level to the next: so a
+#: vector goes to about twice as many leaves as there are trees, however deep they are.
+SPILL, NARROWER = 0.12, 0.75
 #: Members of a dense group that is met as a whole: an estimated share of ``LEAF`` and a number in the sample at least.
 GROUP, SEEN = 0.25, 16
 #: A node isn't cut if so large a share of its sample's pairs link.
@@ -60,8 +62,8 @@ _STUCK = 1 << 39
 class Tree:
     """Cuts as arrays; a node is a leaf if its direction is missing."""
 
-    def __init__(self, sample: np.ndarray, leaf: int, rng: np.random.Generator, least: float = COSINE):
-        self.least = least
+    def __init__(self, sample: np.ndarray, leaf: int, rng: np.random.Generator, least: float = COSINE, above: float = 0.0):
+        self.least, self.above = least, above  # levels above the root: a tree that splits a leaf again goes on from there
         self.directions: list[np.ndarray | None] = []
         self.bounds: list[tuple[float, float]] = []
         self.children: list[tuple[int, int]] = []
@@ -80,7 +82,8 @@ class Tree:
         for _ in range(4):
             a, b = rows[rng.choice(len(rows), 2, replace=False)]
             at = rows @ (a - b)
-            low, high = np.quantile(at, [0.5 - SPILL, 0.5 + SPILL])
+            spill = SPILL * NARROWER ** (self.above + depth)
+            low, high = np.quantile(at, [0.5 - spill, 0.5 + spill])
             left, right = at <= high, at >= low
             if max(left.sum(), right.sum()) < 0.9 * len(rows):
                 break
@@ -286,7 +289,7 @@ def _assigned(vectors: DataFrame, rows: np.ndarray, n: int, least: float, trees:
     return written(vectors.mapInArrow(run, "id long, unit binary, copies long, leaves array<long>"), "leaves")
 
 
-def _split(assigned: DataFrame, limit: int, seed: int, least: float) -> DataFrame:
+def _split(assigned: DataFrame, n: int, limit: int, seed: int, least: float) -> DataFrame:
     """Split leaves beyond the limit again; a leaf's parts get numbers of their own in the leaf's tree."""
     spark = assigned.sparkSession
     for turn in range(1, ROUNDS + 1):
@@ -304,7 +307,7 @@ def _split(assigned: DataFrame, limit: int, seed: int, least: float) -> DataFram
         def fit(key, group):
             at, rows = key[0].as_py(), _matrix(group.column("unit").combine_chunks())
             share = min(1.0, len(rows) / large[at])
-            tree = Tree(rows, max(8, int(limit * share * 0.8)), np.random.default_rng([seed, turn, at & 0xFFFFFFFF]), least)
+            tree = Tree(rows, max(8, int(limit * share * 0.8)), np.random.default_rng([seed, turn, at & 0xFFFFFFFF]), least, max(0.0, float(np.log2(n / large[at]))))
             return pa.table({"leaf": pa.array([at], pa.int64()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
 
         for r in picked.groupBy("leaf").applyInArrow(fit, "leaf long, tree binary").collect():
@@ -364,7 +367,7 @@ def links(vectors: DataFrame, least: float = COSINE, trees: int = TREES, leaf: i
         rows, n = _sampled(vectors, sample), vectors.count()
     placed = None
     if n:
-        assigned = _split(_assigned(vectors, rows, n, least, trees, leaf, seed), leaf, seed, least)
+        assigned = _split(_assigned(vectors, rows, n, least, trees, leaf, seed), n, leaf, seed, least)
         placed = assigned.select("id", "unit", "copies", "leaves", F.explode("leaves").alias("leaf"))
         earlier = F.filter("leaves", lambda x: x < F.col("leaf"))
         placed = placed.select("leaf", "id", "unit", "copies", earlier.alias("leaves"), F.lit(True).alias("inside"))
