@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.llm.secret_scan import _let
+
 #: Known sentences in normal form, and their identifiers (fixed values).
 SENTENCES = {
     "all rights reserved": "AllRights",
@@ -86,6 +88,8 @@ YEARS = r"^copyright( c)?( [0-9]{4})+ "
 #: What ends a run of lines, what parts it, and the address that follows an empty line.
 RUN_END = r"[.!?]+[ \t\r\n]+|\n(?:[^0-9A-Za-z\n]*\n)++"
 RUN_PART = r"[:;]+[ \t\r\n]+|\n+"
+#: Identifiers that are gathered at a time: appending to a list copies it.
+TOGETHER = 256
 ADDRESS = r"(?i)(copy[^0-9a-z]+of[^0-9a-z]+the[^0-9a-z]+licen[cs]e[^0-9a-z]+at)[^0-9a-z]+(http)"
 
 
@@ -95,9 +99,13 @@ def sentences(text: Column) -> Column:
     return F.filter(cut, lambda s: F.length(F.trim(s)) > 0)
 
 
+def _plain(text: Column) -> Column:
+    """Words in lower case, parted by one blank each. Parts that are joined by blanks have joined plain forms."""
+    return F.replace(F.trim(F.regexp_replace(F.lower(text), MARKS, " ")), F.lit("licence"), F.lit("license"))
+
+
 def normal_form(sentence: Column) -> Column:
-    plain = F.trim(F.regexp_replace(F.lower(sentence), MARKS, " "))
-    return F.regexp_replace(F.replace(plain, F.lit("licence"), F.lit("license")), YEARS, "")
+    return F.regexp_replace(_plain(sentence), YEARS, "")
 
 
 def _opener(names: dict[str, str]) -> str:
@@ -108,21 +116,25 @@ def _opener(names: dict[str, str]) -> str:
 
 def _known(run: Column, known: Column, opener: str, parts: int) -> Column:
     """Identifiers of the known sentences in a run, in order: from each part on, the longest one of ``parts`` at most."""
-    texts = F.filter(F.split(run, RUN_PART), lambda s: F.length(F.trim(s)) > 0)
+    texts = F.filter(F.transform(F.split(run, RUN_PART), _plain), lambda s: s != "")
     none = F.array().cast("array<string>")
 
     def fold(held: Column) -> Column:
         def step(acc, k):
-            ends = F.sequence(F.lit(1), F.least(F.lit(parts), F.size(held) - k + 1))
-            found = F.filter(F.transform(ends, lambda n: F.struct(n.alias("n"), F.try_element_at(known, normal_form(F.array_join(F.slice(held, k, n), " "))).alias("id"))), lambda x: x["id"].isNotNull())
+            named = lambda near, n: F.struct(n.alias("n"), F.try_element_at(known, F.regexp_replace(F.array_join(F.slice(near, F.lit(1), n), " "), YEARS, "")).alias("id"))
+            # the parts at hand are taken once: a slice costs as much as the run is long
+            found = _let(F.slice(held, k, parts), lambda near: F.filter(F.transform(F.sequence(F.lit(1), F.size(near)), lambda n: named(near, n)), lambda x: x["id"].isNotNull()))
             # a part that goes on with a sentence opened before is not looked at; nor one that opens none
             looked = F.when((k > acc["done"]) & (F.concat(F.element_at(held, k), F.lit(" "), F.coalesce(F.try_element_at(held, k + 1), F.lit(""))).rlike(opener)), F.try_element_at(found, F.lit(-1)))
+            full = F.size(acc["ids"]) >= TOGETHER
             return F.transform(F.array(looked), lambda x: F.struct(
                 F.when(x.isNotNull(), k + x["n"] - 1).otherwise(acc["done"]).alias("done"),
-                F.when(x.isNotNull(), F.concat(acc["ids"], F.array(x["id"]))).otherwise(acc["ids"]).alias("ids")))[0]
+                F.when(x.isNull(), acc["ids"]).when(full, F.array(x["id"])).otherwise(F.concat(acc["ids"], F.array(x["id"]))).alias("ids"),
+                F.when(x.isNotNull() & full, F.concat(acc["before"], F.array(acc["ids"]))).otherwise(acc["before"]).alias("before")))[0]
 
-        start = F.struct(F.lit(0).alias("done"), none.alias("ids"))
-        return F.when(F.size(held) > 0, F.aggregate(F.sequence(F.lit(1), F.size(held)), start, step, lambda acc: acc["ids"])).otherwise(none)
+        start = F.struct(F.lit(0).alias("done"), none.alias("ids"), F.array().cast("array<array<string>>").alias("before"))
+        whole = lambda acc: F.flatten(F.concat(acc["before"], F.array(acc["ids"])))
+        return F.when(F.size(held) > 0, F.aggregate(F.sequence(F.lit(1), F.size(held)), start, step, whole)).otherwise(none)
 
     return F.flatten(F.transform(F.array(texts), fold))
 

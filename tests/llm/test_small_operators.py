@@ -1,6 +1,8 @@
 """Sharding, licence scan, secret scan: against plain Python on the same rows."""
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -160,3 +162,105 @@ def test_redaction_joins_spans_and_keeps_other_rows(spark, awkward):
     assert got == {1: ('a <secret>" b', 13), 2: (None, None), 3: ("clean", 5), 4: ("<secret>", 8)}
     out = secret_scan.redact(awkward, "text", table, "n_chars")
     assert out.columns == awkward.columns and by_column(out) == by_column(awkward)
+
+
+# --- texts with many matches, and the parts that no SQL covers
+
+def markov_spans(text, table, threshold=secret_scan.THRESHOLD):
+    """Runs of the alphabet with a digit and a letter whose mean log-ratio is high enough."""
+    n, found = len(secret_scan.ALPHABET), []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+        at = [secret_scan.ALPHABET.index(c) for c in m[0]]
+        total = 0.0
+        for a, b in zip(at, at[1:]):
+            total += table[a * n + b]
+        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and total / (len(at) - 1) >= threshold:
+            found.append((m.start(), m.end()))
+    return found
+
+
+def test_markov_spans_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    table = secret_scan.train(docs, "text")
+    random.seed(3)
+    signs = secret_scan.ALPHABET
+    made = ["".join(random.choices(signs, k=random.choice([19, 20, 21, 40, 300]))) + random.choice([" ", "\n", "漢", ".", "😀"]) for _ in range(600)]
+    made = ["".join(made[k : k + 6]) for k in range(0, 600, 6)] + ["snake_case_identifier_of_many_words42", "a1" * 5000, "", None, "x" * 20, "=" * 40 + "1a"]
+    rows = [(-1 - k, t) for k, t in enumerate(made)] + [(r["doc_id"], r["text"]) for r in docs.collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["all_spans"] if s["kind"] == "markov"] for r in secret_scan.scan(df, "text", table).collect()}
+    want = {k: markov_spans(t, table) for k, t in rows}
+    assert got == want and sum(map(len, want.values())) > 200
+
+
+def test_secrets_of_a_text_with_very_many_matches(spark):
+    random.seed(4)
+    runs = ["".join(random.choices("0123456789abcdef", k=24)) for _ in range(32_000)]
+    text = " ".join(runs)
+    table = [1.0] * len(secret_scan.ALPHABET) ** 2
+    df = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    begun = time.time()
+    r = secret_scan.scan(df, "text", table).select(F.size("base_spans").alias("n"), F.col("base_spans")[31_999].alias("last")).first()
+    assert r["n"] == 32_000 and (r["last"]["start"], r["last"]["end"]) == (len(text) - 24, len(text))
+    assert secret_scan.redact(df, "text", table, "n_chars").first()["text"] == " ".join(["<secret>"] * 32_000)
+    assert time.time() - begun < 120
+
+
+def licence_ids(text):
+    """Known sentences of a text, in order: over wrapped lines, from each part of a run the longest one that is known."""
+    found, parts = [], max(len(s.split(" ")) for s in license_scan.SENTENCES)
+    text = re.sub(license_scan.ADDRESS, r"\1 \2", text or "")
+    for run in re.split(r"[.!?]+[ \t\r\n]+|\n(?:[^0-9A-Za-z\n]*\n)+", text):
+        held, done = [p for p in re.split(r"[:;]+[ \t\r\n]+|\n+", run) if p.strip(" ")], 0
+        for k in range(len(held)):
+            if k < done:
+                continue
+            for n in range(min(parts, len(held) - k), 0, -1):
+                plain = re.sub(r"[^0-9a-z]+", " ", " ".join(held[k : k + n]).lower()).strip().replace("licence", "license")
+                name = license_scan.SENTENCES.get(re.sub(license_scan.YEARS, "", plain))
+                if name:
+                    found.append(name)
+                    done = k + n
+                    break
+    return found
+
+
+def licences(ids):
+    rest, found = ("," + ",,".join(ids) + ",") if ids else "", []
+    for name, need in license_scan.RULES:
+        spelt = "," + ",,".join(need) + ","
+        if spelt in rest:
+            found.append(name)
+            rest = rest.replace(spelt, "|")
+    return ",".join(dict.fromkeys(found)), ",".join(x for x in re.split("[,|]+", rest) if x)
+
+
+def test_licences_of_wrapped_notices_against_plain_python(spark):
+    random.seed(5)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    sentences = list(license_scan.SENTENCES)
+    for k in range(300):
+        lines = []
+        for _ in range(random.randint(1, 6)):
+            words = random.choice([*sentences, "some other words that nobody knows"]).split(" ")
+            while words:  # wrapped at any word, with any comment prefix
+                cut = random.choice([3, 5, 9, 30])
+                lines.append(random.choice(["", " * ", "# ", "// "]) + " ".join(words[:cut]))
+                words = words[cut:]
+            lines[-1] += random.choice([".", ";", ":", "", "."])
+            lines += random.choice([[], [""], [" *"]])
+        rows.append((-1 - k, "\n".join(lines)))
+    rows += [(-1000 - k, t) for k, t in enumerate([APACHE, GPL, BSD, MIT])]
+    got = {r["doc_id"]: (r["sentence_ids"], r["licenses"], r["unread_ids"]) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), F.col("text")).collect()}
+    want = {k: (",".join(ids := licence_ids(t)), *licences(ids)) for k, t in rows}
+    wrong = {k: (got[k], want[k]) for k in want if got[k] != want[k]}
+    assert not wrong, list(wrong.items())[:3]
+    assert sum(bool(x[0]) for x in want.values()) > 200
+
+
+def test_licences_of_a_text_with_very_many_notices(spark):
+    text = "Released under the MIT license\n" * 20_000
+    begun = time.time()
+    r = license_scan.scan(spark.createDataFrame([(text,)], "text string"), F.col("text")).first()
+    assert r["licenses"] == "MIT" and r["sentence_ids"].count("MITref") == 20_000
+    assert time.time() - begun < 120
