@@ -4,13 +4,14 @@
    ones). Neighbouring windows with one anchor make a context: the bytes that they cover. Equal windows have their
    anchors at the same place, so a window needs comparison with windows of contexts of the same anchor only, and no
    window lies in two contexts.
-2. Counts in Spark, of contexts and of anchors, each sent once a block: a context that occurs twice is repeated as a
-   whole; one whose anchor occurs in no other context is done; of the others one copy each goes on.
+2. Counts in Spark, of contexts and of anchors, each sent once a block: one that occurs once, whose anchor occurs in no
+   other context, is done; of the others one copy each goes on, or two of one that occurs more often.
 3. Suffix arrays. Contexts are dealt out by anchor. A task writes each of its contexts from its anchor on as a sequence
    of numbers (ranks of ``STEP`` bytes each) and sorts the suffixes of all of them by linear grouping (``_gsaca``).
    Neighbours in this order, compared byte by byte, tell for each length which contexts agree on so many bytes from
    the anchor on. A window is repeated if another context agrees on its bytes from the anchor on, and on those before
-   (a rolling hash of up to ``LENGTH - GRAM`` bytes).
+   (a rolling hash of up to ``LENGTH - GRAM`` bytes). So two copies of a context meet as neighbours; third and further
+   copies, which the hash of the whole context tells, have what those two have.
 4. Back at the blocks, repeated windows merge into maximal runs, which are cut out.
 
 An anchor with more than ``HOT`` contexts (a passage whose surroundings differ in very many documents) isn't gathered
@@ -142,8 +143,8 @@ _ANSWER = "block long, kind int, bucket int, yes binary, also binary"
 
 def _answer(hot: int):
     def run(key, group):
-        """For keys: does another block have it, and is this the first block that has it? For anchors: are there
-        several contexts, and too many?"""
+        """For keys: does another block have it, and is this one of the first two blocks that have it? For anchors: are
+        there several contexts, and too many?"""
         kind = key[0].as_py()
         group = group.combine_chunks().sort_by("block")
         n = group.column("n").to_numpy().astype(np.int64)
@@ -158,6 +159,7 @@ def _answer(hot: int):
         if kind == KEYS:
             yes[order] = np.repeat(size > 1, size)
             also[order[at]] = True
+            also[order[at[size > 1] + 1]] = True
         else:
             others = np.concatenate([np.frombuffer(x.as_py(), A.U64).reshape(-1, 2) for x in group.column("others")])[order]
             only = others[:, 0]
@@ -188,15 +190,21 @@ def _bits_of(answers: list, kind: int, keys: np.ndarray, bits: int) -> tuple[np.
 
 
 def _judged(marks: dict, answers: list, bits: int) -> tuple[np.ndarray, ...]:
-    """For each context of a block: repeated as a whole, to be compared (one copy of each), and of a hot anchor."""
-    keys, first, back, count = np.unique(marks["context"], return_index=True, return_inverse=True, return_counts=True)
+    """For each context of a block: a further copy of one that is repeated as a whole, to be compared (a copy of each, two
+    of a repeated one), and of a hot anchor."""
+    keys, back, count = np.unique(marks["context"], return_inverse=True, return_counts=True)
     elsewhere, leads = _bits_of(answers, KEYS, keys, bits)
     anchors = np.unique(marks["anchor"])
     several, hot = _bits_of(answers, ANCHORS, anchors, bits)
     of = np.searchsorted(anchors, marks["anchor"])
-    copy = np.zeros(len(back), bool)
-    copy[first] = True
-    return (elsewhere | (count > 1))[back], several[of] & copy & leads[back], hot[of]
+    order = np.argsort(back, kind="stable")
+    nth = np.empty(len(back), np.int64)
+    nth[order] = np.arange(len(back)) - np.repeat(np.cumsum(count) - count, count)
+    repeated = (elsewhere | (count > 1))[back]
+    # the second copy comes from the second block, or from this one if no other has it
+    copy = leads[back] & ((nth == 0) | ((nth == 1) & ~elsewhere[back]))
+    compared = copy & (several[of] | (repeated & ~hot[of]))
+    return repeated & (hot[of] | ~compared), compared, hot[of]
 
 
 def _hot_windows(table: pa.Table, marks: dict, some: np.ndarray, length: int) -> np.ndarray:
@@ -352,14 +360,14 @@ def _removed(n_carry: int, bits: int, length: int):
             cols = [batch.column(c) for c in ("payload", "marks")]
             for payload, data, answers, found in zip(*cols, batch.column("answers").to_pylist(), batch.column("found").to_pylist()):
                 table, marks = B.unpack(payload.as_py()).combine_chunks(), _read(data.as_py())
-                whole, compared, hot = _judged(marks, answers, bits)
+                further, compared, hot = _judged(marks, answers, bits)
                 text, offsets = A.utf8(table.column("text"))
                 begin = offsets[marks["text"]] + marks["first"]
                 count = marks["count"].astype(np.int64)
                 # differences of how many repeated windows cover a byte
                 steps = np.zeros(len(text) + 1, np.int32)
-                np.add.at(steps, begin[whole], 1)
-                np.add.at(steps, begin[whole] + count[whole] - 1 + length, -1)
+                np.add.at(steps, begin[further], 1)
+                np.add.at(steps, begin[further] + count[further] - 1 + length, -1)
                 hits = [np.empty(0, np.int64)]
                 for a in found or []:
                     if a["kind"] == CONTEXTS:
