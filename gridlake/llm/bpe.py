@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from gridlake.llm._session import documents, prepare
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LEAF_CHARS = 1 << 16
-LEAF_BYTES = 32
+LEAF_CHARS = 1 << 11
+LEAF_BYTES = 8
+#: Windows of more bytes are merged with a heap; pieces of more characters aren't kept in the memo.
+WIDE = 128
 LEAF_IDS = 1 << 14
 MEMO_PIECES = 400_000
 
@@ -73,7 +75,7 @@ class Codec:
 
     def _merged(self, data: bytes) -> list[int]:
         """Merge the neighbours of the lowest rank, the first of equal ones, until none is left."""
-        if len(data) > 4 * LEAF_BYTES:
+        if len(data) > WIDE:
             return self._merged_long(data)
         ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
         none = len(self.tokens)
@@ -155,45 +157,43 @@ class Codec:
             known = (rank,) if rank is not None else tuple(self._reduce(data))
             if len(self.memo) >= MEMO_PIECES:
                 self.memo.clear()
-            if len(text) <= 4 * LEAF_BYTES:
+            if len(text) <= WIDE:
                 self.memo[text] = known
         return known
 
     # --- text -> pieces
 
-    def _borders(self, text: str, lo: int, hi: int) -> list[int]:
-        """Where the pieces of ``text[lo:hi]``, taken alone, begin."""
+    def _cut(self, text: str, lo: int, hi: int) -> list[str]:
+        """The pieces of ``text[lo:hi]``, taken alone."""
         if hi - lo <= LEAF_CHARS:
-            at, out = lo, []
-            for p in self.find.findall(text[lo:hi]):
-                out.append(at)
-                at += len(p)
-            return out
+            return self.find.findall(text[lo:hi])
         mid = (lo + hi) // 2
-        return self._join_borders(text, self._borders(text, lo, mid), self._borders(text, mid, hi), mid, hi)
+        return self._join_cuts(text, self._cut(text, lo, mid), self._cut(text, mid, hi), mid, hi)
 
-    def _join_borders(self, text: str, left: list[int], right: list[int], mid: int, hi: int) -> list[int]:
-        stay = max(0, len(left) - 3)
-        start, known, reach = left[stay], set(right), 64
+    def _join_cuts(self, text: str, left: list[str], right: list[str], mid: int, hi: int) -> list[str]:
+        tail = left[-3:]
+        start, reach = mid - sum(map(len, tail)), 64
+        del left[len(left) - len(tail) :]
         while True:
             stop = min(hi, mid + reach)
-            at, cut = start, []
-            for p in self.find.findall(text[start:stop]):
-                cut.append(at)
-                at += len(p)
+            window = self.find.findall(text[start:stop])
             if stop == hi:
-                return left[:stay] + cut
+                return left + window
             # the last three pieces of the window may depend on what follows it
-            for k, at in enumerate(cut[: len(cut) - 3]):
-                if at >= mid and at in known:
-                    return left[:stay] + cut[:k] + right[right.index(at) :]
+            at, other, nth = start, mid, 0
+            for k in range(len(window) - 3):
+                while other < at:
+                    other += len(right[nth])
+                    nth += 1
+                if at == other:
+                    left += window[:k]
+                    left += right[nth:]
+                    return left
+                at += len(window[k])
             reach *= 4
 
     def pieces(self, text: str) -> list[str]:
-        if len(text) <= LEAF_CHARS:
-            return self.find.findall(text)
-        cut = [*self._borders(text, 0, len(text)), len(text)]
-        return [text[a:b] for a, b in zip(cut, cut[1:])]
+        return self._cut(text, 0, len(text))
 
     # --- whole texts
 

@@ -36,6 +36,18 @@ def test_tree_reduction_equals_the_library(codec, library, monkeypatch):
         assert codec.encode(text) == library.encode_ordinary(text)
 
 
+def test_texts_of_the_tables_are_joined(texts, codec, library, monkeypatch):
+    joins = Counter()
+    for name in ("_join", "_join_cuts"):
+        def counted(self, *args, name=name, own=getattr(bpe.Codec, name)):
+            joins[name] += 1
+            return own(self, *args)
+        monkeypatch.setattr(bpe.Codec, name, counted)
+    codec.memo.clear()
+    assert all(codec.encode(t) == library.encode_ordinary(t or "") for _, t in texts)
+    assert joins["_join"] > 100 and joins["_join_cuts"] > 100
+
+
 def test_long_texts(codec, library):
     for text in ("=" * 20_000 + "x", "ab " * 60_000, " " * 5000 + "end", "ß" * 9000):
         ids = codec.encode(text)
