@@ -55,6 +55,8 @@ ROUNDS = 8
 SPLITS = 256
 LEAF_SAMPLE = 4_000
 SEED = 2024
+#: Leaves met block by block (24 bytes each) that are handed to all tasks, at most.
+BROADCAST_LEAVES = 1 << 20
 #: Mark of a leaf that can't be split.
 _STUCK = 1 << 39
 
@@ -318,20 +320,31 @@ def _split(assigned: DataFrame, n: int, limit: int, seed: int, least: float) ->
 
         def again(batches):
             for batch in batches:
-                units, lists = _matrix(batch.column("unit")), batch.column("leaves").to_pylist()
-                out = [[x for x in own if x not in shared.value] for own in lists]
-                for leaf, tree in shared.value.items():
-                    rows = np.array([k for k, own in enumerate(lists) if leaf in own], np.int64)
-                    if not len(rows):
-                        continue
+                units, lists = _matrix(batch.column("unit")), batch.column("leaves")
+                flat = pc.list_flatten(lists).to_numpy()
+                row = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                # the batch's places in leaves that are split, leaf by leaf
+                some = np.flatnonzero(np.isin(flat, list(number)))
+                some = some[np.argsort(flat[some], kind="stable")]
+                stays = np.ones(len(flat), bool)
+                stays[some] = False
+                rows, leaves = [row[stays]], [flat[stays]]
+                ends = np.flatnonzero(np.diff(flat[some], append=-1)) + 1
+                for own in np.split(some, ends[:-1]) if len(some) else []:
+                    leaf = int(flat[own[0]])
+                    tree = shared.value[leaf]
                     if tree.directions[0] is None:  # can't be split
-                        for r in rows.tolist():
-                            out[r].append(leaf | _STUCK)
+                        rows.append(row[own])
+                        leaves.append(np.full(len(own), leaf | _STUCK))
                         continue
-                    row, node = tree.leaves(units[rows])
-                    for r, x in zip(rows[row].tolist(), node.tolist()):
-                        out[r].append((leaf >> 40 << 40) | base | (number[leaf] << 16) | x)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("unit"), batch.column("copies"), pa.array(out, pa.list_(pa.int64()))], ["id", "unit", "copies", "leaves"])
+                    member, node = tree.leaves(units[row[own]])
+                    rows.append(row[own][member])
+                    leaves.append((leaf >> 40 << 40) | base | (number[leaf] << 16) | node.astype(np.int64))
+                rows, leaves = np.concatenate(rows), np.concatenate(leaves)
+                leaves = leaves[np.lexsort((leaves, rows))]
+                starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(batch)))])
+                out = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(leaves, pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("unit"), batch.column("copies"), out], ["id", "unit", "copies", "leaves"])
 
         assigned = written(assigned.mapInArrow(again, "id long, unit binary, copies long, leaves array<long>"), "leaves")
     return assigned
@@ -384,7 +397,9 @@ def _met(placed: DataFrame, least: float, leaf: int) -> DataFrame:
     counts = placed.groupBy("leaf").agg(F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"))
     counts = counts.withColumn("b_in", F.ceil(F.col("n_in") / (2 * leaf)).cast("int")).withColumn("b_out", F.ceil(F.col("n_out") / (2 * leaf)).cast("int"))
     large = written(counts.filter("b_in > 1 or b_out > 0").select("leaf", "b_in", "b_out"), "large")
-    placed = placed.join(F.broadcast(large), "leaf", "left").withColumn("b_in", F.coalesce("b_in", F.lit(1))).withColumn("b_out", F.coalesce("b_out", F.lit(0))).filter("b_in > 0")
+    # their number grows with the table: beyond the bound, vectors are joined by leaf
+    large = F.broadcast(large) if large.count() <= BROADCAST_LEAVES else large
+    placed = placed.join(large, "leaf", "left").withColumn("b_in", F.coalesce("b_in", F.lit(1))).withColumn("b_out", F.coalesce("b_out", F.lit(0))).filter("b_in > 0")
     own = F.when(F.col("inside"), F.pmod(F.xxhash64("id"), F.col("b_in"))).otherwise(F.col("b_in") + F.pmod(F.xxhash64("id"), F.greatest("b_out", F.lit(1)))).cast("int")
     last = F.when(F.col("inside"), F.col("b_in") + F.col("b_out") - 1).otherwise(F.col("b_in") - 1)
     placed = placed.withColumn("own", own)

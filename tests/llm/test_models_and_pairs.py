@@ -267,6 +267,21 @@ def test_links_of_a_dense_group_larger_than_leaves(spark, spread):
     assert (got <= links).all() and got.sum() >= 0.98 * links.sum()
 
 
+def test_vectors_of_clashing_columns_and_joined_leaves(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(40, 12))
+    vectors = np.repeat(base, 6, 0) + 0.1 * rng.normal(size=(240, 12))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    names = ("id", "row", "key", "v", "unit", "raw", "copies", "leaf", "leaves", "node", "n_links", "component_id", "kept")
+    wide = frame.select("*", *[F.lit("x").alias(c) for c in names])
+    wanted = {tuple(r) for r in embedding_dedup.dedup(frame, "vec_id", "embedding", leaf=16).collect()}
+    assert any(r[1] for r in wanted)
+    # large leaves beyond the bound of the broadcast are joined
+    monkeypatch.setattr(embedding_dedup, "BROADCAST_LEAVES", -1)
+    out = embedding_dedup.dedup(wide, "vec_id", "embedding", leaf=16)
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"] and {tuple(r) for r in out.collect()} == wanted
+
+
 def test_vectors_of_many_lengths(spark):
     rows = [(2 * n + k, [1.0] * (n - 1) + [1.0 + k / 100]) for n in range(2, 1202) for k in range(2)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)
